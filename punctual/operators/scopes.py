@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Scope ranks, also the tie order of the final sort.
@@ -50,6 +50,15 @@ def count_trains_by_scope(runs: DataFrame, name: str) -> DataFrame:
     return per_train.select(F.inline(scopes)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias(name))
 
 
+def empty_total(spark: SparkSession, *counts: str) -> DataFrame:
+    """The total's row with zero counts: a total exists even without rows."""
+    return spark.range(1).select(
+        F.lit(OVERALL).alias("scope_rank"),
+        F.lit(None).cast("string").alias("scope_value"),
+        *[F.lit(0).cast("long").alias(c) for c in counts],
+    )
+
+
 def fold(pieces: list[DataFrame], keys: list[str]) -> DataFrame:
     """Put results with the same keys side by side.
 

@@ -25,7 +25,7 @@ from punctual.functions import (
 )
 from punctual.operators.histogram import weighted_percentile
 from punctual.operators.runs import day_runs
-from punctual.operators.scopes import KEYS, OVERALL, aggregate_scopes, count_trains_by_scope, fold
+from punctual.operators.scopes import KEYS, OVERALL, aggregate_scopes, count_trains_by_scope, empty_total, fold
 
 # The compared pair of train types, volume gates, category names.
 PAIR = ("IC", "HDM")
@@ -182,7 +182,8 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
 
     scope_name = F.when(F.col("scope_rank") == OVERALL, "Overall").otherwise(F.col("scope_value"))
     counts = {c: f"{c}_count" for c in KNOWN_CATEGORIES} | {"on_time": "on_time_count_strict"}
-    result = fold([delays, stations, trains], KEYS).select(
+    no_rows = empty_total(fact.sparkSession, "events", "total_stations")
+    result = fold([delays, stations, trains, no_rows], KEYS).select(
         "scope_rank",
         scope_name.alias("metric_scope"),
         F.col("events").alias("total_events"),

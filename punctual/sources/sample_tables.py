@@ -7,72 +7,184 @@ attributes derived from the same tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.plans.silver import with_event_attributes
 
-TYPE_OF = {"click": "IC", "view": "HDM", "purchase": "S", "signup": "HL"}
-CATEGORY_OF = {
-    "click": "Long-distance",
-    "view": "Long-distance",
-    "purchase": "Long-distance",
-    "signup": "Commuter",
-    "error": "Cargo",
-}
 ROWS_PER_TRAIN = 64  # shape N: no nested array is longer
 TRAIN_NUMBERS = 1_000_000_007  # keeps shape N's train number inside an int
 
+# Pinned, so that opening a table costs no pass over its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _lookup(mapping: dict[str, str], key: Column) -> Column:
-    pairs = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.try_element_at(pairs, key)
+# shape E
 
+STATION = "get_json_object(props, '$.k')"
+KIND = "if(event_id % 2 = 0, 'ARRIVAL', 'DEPARTURE')"
+DELAY = "if(event_id % 97 <> 0, floor(value) - 3, NULL)"
+ACTUAL_TIME = """
+    CASE WHEN event_id % 89 = 0 THEN NULL
+         WHEN event_id % 53 = 0 THEN cast(cast(ts AS date) AS timestamp_ntz)
+         ELSE ts + make_dt_interval(0, 0, cast(least(60, floor(value)) - 3 AS int)) END"""
+TYPE = "CASE event_type WHEN 'click' THEN 'IC' WHEN 'view' THEN 'HDM' WHEN 'purchase' THEN 'S' WHEN 'signup' THEN 'HL' END"
+CATEGORY = """
+    CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'Long-distance'
+         WHEN event_type = 'signup' THEN 'Commuter' ELSE 'Cargo' END"""
 
-def _minutes_after(ts: Column, minutes: Column) -> Column:
-    return ts + F.make_dt_interval(mins=minutes.cast("int"))
 
+def event_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Shape E before the derived attributes, with the event's own id kept."""
+    return table(spark, folder, "events").selectExpr(
+        "event_id",
+        "user_id * 10 + length(event_type) AS trainNumber",
+        "cast(ts AS date) AS departureDate",
+        f"{TYPE} AS trainType",
+        f"{CATEGORY} AS trainCategory",
+        f"{STATION} AS stationShortCode",
+        f"{KIND} AS event_type",
+        "event_id % 7 <> 0 AS commercial_stop",
+        "ts AS scheduled_time",
+        f"{ACTUAL_TIME} AS actual_time",
+        f"{DELAY} AS delay_minutes",
+    )
 
-# shape E
 
+def event_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return with_event_attributes(event_rows(spark, folder))
 
-def _delay() -> Column:
-    return F.when(F.col("event_id") % 97 != 0, F.floor("value") - 3)
 
+def single_type_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Shape E without the trains that have two types: what date ranges on spans need."""
+    return event_fact(spark, folder).where("trainType IS NOT NULL")
 
-def _actual_time() -> Column:
-    ts, event_id = F.col("ts"), F.col("event_id")
-    moved = _minutes_after(ts, F.least(F.lit(60), F.floor("value")) - 3)
-    return (
-        F.when(event_id % 89 == 0, None)
-        .when(event_id % 53 == 0, ts.cast("date").cast("timestamp_ntz"))
-        .otherwise(moved)
+
+# shape L
+
+
+def lineitem_rows(
+    spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
+) -> DataFrame:
+    """Shape L. Type and category each cost a join, so they are added on request."""
+    orders = table(spark, folder, "orders").where("o_orderstatus <> 'P'")
+    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    extra = []
+    if train_type:
+        lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        extra.append("p_type AS trainType")
+    if category:
+        lines = lines.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        extra.append("c_mktsegment AS trainCategory")
+    return lines.selectExpr(
+        "l_orderkey AS trainNumber",
+        "cast(o_orderdate AS date) AS departureDate",
+        "cast(l_suppkey AS string) AS stationShortCode",
+        "if(l_linestatus = 'F', 'ARRIVAL', 'DEPARTURE') AS event_type",
+        "l_returnflag <> 'A' AS commercial_stop",
+        "o_orderdate + make_dt_interval(0, l_linenumber) AS scheduled_time",
+        "l_shipdate AS actual_time",
+        "cast(datediff(l_shipdate, o_orderdate) % 60 AS bigint) AS delay_minutes",
+        *extra,
     )
 
 
-def _event_kind() -> Column:
-    return F.when(F.col("event_id") % 2 == 0, "ARRIVAL").otherwise("DEPARTURE")
+def lineitem_fact(
+    spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
+) -> DataFrame:
+    return with_event_attributes(lineitem_rows(spark, folder, train_type, category))
+
+
+def supplier_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """The station dimension of shape L."""
+    suppliers, nations = table(spark, folder, "supplier"), table(spark, folder, "nation")
+    located = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    return located.selectExpr(
+        "cast(s_suppkey AS string) AS stationShortCode",
+        "s_name AS stationName",
+        "s_suppkey AS stationUICCode",
+        "60 + n_nationkey / 10 AS latitude",
+        "20 + n_nationkey / 10 AS longitude",
+        "s_acctbal > 0 AS passengerTraffic",
+        "element_at(array('STATION', 'STOPPING_POINT', 'TURNOUT_IN_THE_OPEN_LINE'), cast(s_suppkey % 3 AS int) + 1)"
+        " AS type",
+        "element_at(array('Major Station', 'Stopping Point', 'Turnout'), cast(s_suppkey % 3 AS int) + 1)"
+        " AS station_type_label",
+        "if(s_acctbal > 0, 'Passenger Service', 'No Passenger Service') AS passenger_service_label",
+        "r_name AS region",
+    )
+
+
+# shape N: no nested array is longer
+TRAIN_NUMBERS = 1_000_000_007  # keeps shape N's train number inside an int
+
+# Pinned, so that opening a table costs no pass over its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+# shape E
+
+STATION = "get_json_object(props, '$.k')"
+KIND = "if(event_id % 2 = 0, 'ARRIVAL', 'DEPARTURE')"
+DELAY = "if(event_id % 97 <> 0, floor(value) - 3, NULL)"
+ACTUAL_TIME = """
+    CASE WHEN event_id % 89 = 0 THEN NULL
+         WHEN event_id % 53 = 0 THEN cast(cast(ts AS date) AS timestamp_ntz)
+         ELSE ts + make_dt_interval(0, 0, cast(least(60, floor(value)) - 3 AS int)) END"""
+TYPE = "CASE event_type WHEN 'click' THEN 'IC' WHEN 'view' THEN 'HDM' WHEN 'purchase' THEN 'S' WHEN 'signup' THEN 'HL' END"
+CATEGORY = """
+    CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'Long-distance'
+         WHEN event_type = 'signup' THEN 'Commuter' ELSE 'Cargo' END"""
 
 
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Shape E before the derived attributes, with the event's own columns kept."""
-    kind = F.col("event_type")
-    return table(spark, folder, "events").select(
+    """Shape E before the derived attributes, with the event's own id kept."""
+    return table(spark, folder, "events").selectExpr(
         "event_id",
-        (F.col("user_id") * 10 + F.length(kind)).alias("trainNumber"),
-        F.col("ts").cast("date").alias("departureDate"),
-        _lookup(TYPE_OF, kind).alias("trainType"),
-        _lookup(CATEGORY_OF, kind).alias("trainCategory"),
-        F.get_json_object("props", "$.k").alias("stationShortCode"),
-        _event_kind().alias("event_type"),
-        (F.col("event_id") % 7 != 0).alias("commercial_stop"),
-        F.col("ts").alias("scheduled_time"),
-        _actual_time().alias("actual_time"),
-        _delay().alias("delay_minutes"),
+        "user_id * 10 + length(event_type) AS trainNumber",
+        "cast(ts AS date) AS departureDate",
+        f"{TYPE} AS trainType",
+        f"{CATEGORY} AS trainCategory",
+        f"{STATION} AS stationShortCode",
+        f"{KIND} AS event_type",
+        "event_id % 7 <> 0 AS commercial_stop",
+        "ts AS scheduled_time",
+        f"{ACTUAL_TIME} AS actual_time",
+        f"{DELAY} AS delay_minutes",
     )
 
 
@@ -96,23 +208,20 @@ def lineitem_rows(
     lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     extra = []
     if train_type:
-        parts = table(spark, folder, "part").select("p_partkey", "p_type")
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        extra.append(F.col("p_type").alias("trainType"))
+        lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        extra.append("p_type AS trainType")
     if category:
-        customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-        lines = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        extra.append(F.col("c_mktsegment").alias("trainCategory"))
-    ordered = F.col("o_orderdate")
-    return lines.select(
-        F.col("l_orderkey").alias("trainNumber"),
-        ordered.cast("date").alias("departureDate"),
-        F.col("l_suppkey").cast("string").alias("stationShortCode"),
-        F.when(F.col("l_linestatus") == "F", "ARRIVAL").otherwise("DEPARTURE").alias("event_type"),
-        (F.col("l_returnflag") != "A").alias("commercial_stop"),
-        (ordered + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("scheduled_time"),
-        F.col("l_shipdate").alias("actual_time"),
-        (F.datediff("l_shipdate", "o_orderdate") % 60).cast("long").alias("delay_minutes"),
+        lines = lines.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        extra.append("c_mktsegment AS trainCategory")
+    return lines.selectExpr(
+        "l_orderkey AS trainNumber",
+        "cast(o_orderdate AS date) AS departureDate",
+        "cast(l_suppkey AS string) AS stationShortCode",
+        "if(l_linestatus = 'F', 'ARRIVAL', 'DEPARTURE') AS event_type",
+        "l_returnflag <> 'A' AS commercial_stop",
+        "o_orderdate + make_dt_interval(0, l_linenumber) AS scheduled_time",
+        "l_shipdate AS actual_time",
+        "cast(datediff(l_shipdate, o_orderdate) % 60 AS bigint) AS delay_minutes",
         *extra,
     )
 
@@ -153,41 +262,32 @@ def supplier_stations(spark: SparkSession, folder: str) -> DataFrame:
 # shape N
 
 
+TIME_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
 def nested_trains(spark: SparkSession, folder: str) -> DataFrame:
     """`events` nested into trains of the pinned input schema. A train is a block of 64
     event ids, so an array has at most 64 rows, whatever the key distribution."""
-    block = F.floor(F.col("event_id") / F.lit(ROWS_PER_TRAIN))
-    text = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-    causes = "array<struct<categoryCode string, categoryCodeId bigint, detailedCategoryCode string, "
-    causes += "detailedCategoryCodeId bigint, thirdCategoryCode string, thirdCategoryCodeId bigint>>"
-    row = F.struct(
-        _event_kind().alias("type"),
-        (F.col("event_id") % 7 != 0).alias("commercialStop"),
-        F.date_format("ts", text).alias("scheduledTime"),
-        F.date_format(_actual_time(), text).alias("actualTime"),
-        _delay().alias("differenceInMinutes"),
-        F.get_json_object("props", "$.k").alias("stationShortCode"),
-        F.lit(None).cast("bigint").alias("stationUICCode"),
-        F.lit(True).alias("trainStopping"),
-        F.lit(None).cast(causes).alias("causes"),
+    row = f"""struct(
+        {KIND} AS type, event_id % 7 <> 0 AS commercialStop,
+        date_format(ts, "{TIME_TEXT}") AS scheduledTime,
+        date_format({ACTUAL_TIME}, "{TIME_TEXT}") AS actualTime,
+        {DELAY} AS differenceInMinutes, {STATION} AS stationShortCode,
+        cast(NULL AS bigint) AS stationUICCode, true AS trainStopping)"""
+    rows = table(spark, folder, "events").selectExpr(
+        f"event_id div {ROWS_PER_TRAIN} AS block", "cast(ts AS date) AS day", f"{row} AS row"
     )
-    types, categories = list(TYPE_OF.values()), ["Long-distance", "Commuter", "Cargo"]
-    number = F.col("block")
-    blocks = table(spark, folder, "events").groupBy(block.alias("block")).agg(
-        F.min("ts").cast("date").alias("departureDate"), F.collect_list(row).alias("timeTableRows")
+    blocks = rows.groupBy("block").agg(
+        F.min("day").alias("departureDate"), F.collect_list("row").alias("timeTableRows")
     )
-
-    def pick(values: list[str]) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
-
-    return blocks.select(
-        (number % TRAIN_NUMBERS).cast("int").alias("trainNumber"),
+    return blocks.selectExpr(
+        f"cast(block % {TRAIN_NUMBERS} AS int) AS trainNumber",
         "departureDate",
-        F.lit("vr").alias("operatorShortCode"),
-        pick(types).alias("trainType"),
-        pick(categories).alias("trainCategory"),
-        (number % 11 == 0).alias("cancelled"),
-        F.lit(1).cast("long").alias("version"),
+        "'vr' AS operatorShortCode",
+        "element_at(array('IC', 'HDM', 'S', 'HL'), cast(block % 4 AS int) + 1) AS trainType",
+        "element_at(array('Long-distance', 'Commuter', 'Cargo'), cast(block % 3 AS int) + 1) AS trainCategory",
+        "block % 11 = 0 AS cancelled",
+        "cast(1 AS bigint) AS version",
         "timeTableRows",
     )
 
@@ -197,94 +297,80 @@ def nested_trains(spark: SparkSession, folder: str) -> DataFrame:
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
     """One row per day and city, from two kinds of events."""
-    city = _lookup({"click": "Helsinki", "view": "Tampere"}, F.col("event_type"))
-    days = (
-        table(spark, folder, "events")
-        .select(F.col("ts").cast("date").alias("date"), city.alias("city"), "event_id")
-        .where("city IS NOT NULL")
-        .groupBy("date", "city")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
+    cities = table(spark, folder, "events").selectExpr(
+        "cast(ts AS date) AS date",
+        "CASE event_type WHEN 'click' THEN 'Helsinki' WHEN 'view' THEN 'Tampere' END AS city",
+        "event_id",
     )
-    return days.select(
+    days = cities.where("city IS NOT NULL").groupBy("date", "city")
+    return days.agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last")).selectExpr(
         "date",
         "city",
-        ((F.col("n") % 41 - 20) / 2.0).alias("temperature_c"),
-        (F.col("last") % 13 / 2.0).alias("precipitation_mm"),
-        (F.col("last") % 31).cast("double").alias("wind_speed_kmh"),
-        (F.col("n") % 9).cast("int").alias("snow_depth_cm"),
-        F.when(F.col("n") % 9 > 5, "Snowy").otherwise("Cloudy").alias("conditions"),
+        "(n % 41 - 20) / 2.0D AS temperature_c",
+        "(last % 13) / 2.0D AS precipitation_mm",
+        "cast(last % 31 AS double) AS wind_speed_kmh",
+        "cast(n % 9 AS int) AS snow_depth_cm",
+        "if(n % 9 > 5, 'Snowy', 'Cloudy') AS conditions",
     )
 
 
 def weather_archive(spark: SparkSession, folder: str) -> DataFrame:
     """One reading per order, spread over two years and five stations."""
-    stations = F.array(*[F.lit(s) for s in ("HKI", "TPE", "TKU", "OL", "JY")])
-    key = F.col("o_orderkey")
-    average = ((key % 400 - 200) / 10.0).alias("temp_avg_c")
-    return table(spark, folder, "orders").select(
-        F.date_add(F.lit("2023-01-01").cast("date"), (key % 731).cast("int")).alias("date"),
-        F.element_at(stations, (F.col("o_custkey") % 5 + 1).cast("int")).alias("station_code"),
-        average,
-        ((key % 400 - 230) / 10.0).alias("temp_min_c"),
-        ((key % 400 - 170) / 10.0).alias("temp_max_c"),
-        (key % 17 / 2.0).alias("precipitation_mm"),
-        (key % 6).cast("int").alias("snow_depth_cm"),
-        (key % 23).cast("double").alias("wind_speed_kmh"),
-        (key % 20 + 5).cast("double").alias("visibility_km"),
+    return table(spark, folder, "orders").selectExpr(
+        "date_add(date'2023-01-01', cast(o_orderkey % 731 AS int)) AS date",
+        "element_at(array('HKI', 'TPE', 'TKU', 'OL', 'JY'), cast(o_custkey % 5 AS int) + 1) AS station_code",
+        "(o_orderkey % 400 - 200) / 10.0D AS temp_avg_c",
+        "(o_orderkey % 400 - 230) / 10.0D AS temp_min_c",
+        "(o_orderkey % 400 - 170) / 10.0D AS temp_max_c",
+        "(o_orderkey % 17) / 2.0D AS precipitation_mm",
+        "cast(o_orderkey % 6 AS int) AS snow_depth_cm",
+        "cast(o_orderkey % 23 AS double) AS wind_speed_kmh",
+        "cast(o_orderkey % 20 + 5 AS double) AS visibility_km",
     )
 
 
 def incidents(spark: SparkSession, folder: str) -> DataFrame:
     """One incident per `error` event, with a nested impact."""
-    event_id, minutes = F.col("event_id"), F.floor("value")
-    weather_related = event_id % 4 == 0
-    return (
-        table(spark, folder, "events")
-        .where("event_type = 'error'")
-        .select(
-            F.concat(F.lit("INC-"), event_id).alias("incident_id"),
-            F.col("ts").cast("date").alias("date"),
-            (F.col("user_id") * 10 + F.length("event_type")).alias("train_number"),
-            F.get_json_object("props", "$.k").alias("station"),
-            minutes.alias("delay_minutes"),
-            F.when(weather_related, "weather").otherwise("technical").alias("category"),
-            F.when(weather_related, "storm").otherwise("engine_issue").alias("subcategory"),
-            weather_related.alias("weather_related"),
-            (minutes * 2).alias("resolved_time_minutes"),
-            F.struct(
-                (event_id % 7 + 1).alias("affected_trains"), (minutes * 3).alias("total_delay_minutes")
-            ).alias("impact"),
-        )
+    errors = table(spark, folder, "events").where("event_type = 'error'")
+    return errors.selectExpr(
+        "concat('INC-', event_id) AS incident_id",
+        "cast(ts AS date) AS date",
+        "user_id * 10 + length(event_type) AS train_number",
+        f"{STATION} AS station",
+        "floor(value) AS delay_minutes",
+        "if(event_id % 4 = 0, 'weather', 'technical') AS category",
+        "if(event_id % 4 = 0, 'storm', 'engine_issue') AS subcategory",
+        "event_id % 4 = 0 AS weather_related",
+        "floor(value) * 2 AS resolved_time_minutes",
+        "struct(event_id % 7 + 1 AS affected_trains, floor(value) * 3 AS total_delay_minutes) AS impact",
     )
 
 
 def routes(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return table(spark, folder, "nation").select(
-        F.concat(F.lit("R"), key).alias("route_id"),
-        F.col("n_name").alias("route_name"),
-        key.cast("string").alias("origin"),
-        (key + 1).cast("string").alias("destination"),
-        (key * 10 + 100).alias("distance_km"),
-        (key * 5 + 60).alias("typical_duration_min"),
-        (key % 7 + 2).alias("stops"),
-        F.lit("IC").alias("train_types"),
+    return table(spark, folder, "nation").selectExpr(
+        "concat('R', n_nationkey) AS route_id",
+        "n_name AS route_name",
+        "cast(n_nationkey AS string) AS origin",
+        "cast(n_nationkey + 1 AS string) AS destination",
+        "n_nationkey * 10 + 100 AS distance_km",
+        "n_nationkey * 5 + 60 AS typical_duration_min",
+        "n_nationkey % 7 + 2 AS stops",
+        "'IC' AS train_types",
     )
 
 
 def station_attributes(spark: SparkSession, folder: str) -> DataFrame:
     """For two thirds of the suppliers."""
-    key = F.col("s_suppkey")
     return (
         table(spark, folder, "supplier")
         .where("s_suppkey % 3 <> 0")
-        .select(
-            key.cast("string").alias("station_code"),
-            (key * 1000 + 5000).alias("population_nearby"),
-            (key % 9 + 1).cast("int").alias("platforms"),
-            F.when(key % 2 == 0, "Yes").otherwise("No").alias("has_restaurant"),
-            (key % 300).cast("int").alias("parking_spaces"),
-            (key % 120).cast("int").alias("elevation_m"),
-            F.col("s_name").alias("region"),
+        .selectExpr(
+            "cast(s_suppkey AS string) AS station_code",
+            "s_suppkey * 1000 + 5000 AS population_nearby",
+            "cast(s_suppkey % 9 + 1 AS int) AS platforms",
+            "if(s_suppkey % 2 = 0, 'Yes', 'No') AS has_restaurant",
+            "cast(s_suppkey % 300 AS int) AS parking_spaces",
+            "cast(s_suppkey % 120 AS int) AS elevation_m",
+            "s_name AS region",
         )
     )

@@ -600,10 +600,10 @@ ORACLE: dict[str, str] = {
     "station_star": f"""{L} SELECT "stationName", region, "trainType", COUNT(*) AS events,
       AVG(delay_minutes) AS avg_delay FROM fact JOIN dim USING ("stationShortCode") GROUP BY ALL""",
     "dedup_latest_version": """
-      SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity
+      SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity
       FROM lineitem a WHERE NOT EXISTS (
         SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber
-          AND (b.l_partkey > a.l_partkey OR (b.l_partkey = a.l_partkey AND b.l_suppkey > a.l_suppkey)))""",
+          AND (b.l_partkey, b.l_suppkey, b.l_quantity) > (a.l_partkey, a.l_suppkey, a.l_quantity))""",
     "surrogate_key": f"""WITH {EVENT_ROWS}, k AS (
         SELECT event_id, CAST("trainNumber" AS VARCHAR) AS a, CAST("departureDate" AS VARCHAR) AS b,
           COALESCE("stationShortCode", '_dbt_utils_surrogate_key_null_') AS c,

@@ -41,18 +41,12 @@ SHIP_RANGE = ("1996-03-01", "1997-09-30")
 def comparable(df: DataFrame) -> DataFrame:
     """Result types that every engine has alike: whole numbers as bigint, decimals as
     double, dates as ISO text."""
-
-    def column(field: T.StructField):
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            return value.cast("long").alias(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            return value.cast("double").alias(field.name)
-        if isinstance(field.dataType, T.DateType):
-            return value.cast("string").alias(field.name)
-        return value
-
-    return df.select(*[column(f) for f in df.schema])
+    plain = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "date": "string"}
+    casts = []
+    for name, kind in df.dtypes:
+        target = "double" if kind.startswith("decimal") else plain.get(kind)
+        casts.append(f"cast(`{name}` AS {target}) AS `{name}`" if target else f"`{name}`")
+    return df.selectExpr(*casts)
 
 
 def _on_events(report: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -135,7 +129,7 @@ def json_field_filter(spark: SparkSession, folder: str) -> DataFrame:
 def dedup_latest_version(spark: SparkSession, folder: str) -> DataFrame:
     lines = sample.table(spark, folder, "lineitem")
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    newest = [F.col("l_partkey").desc_nulls_last(), F.col("l_suppkey").desc_nulls_last()]
+    newest = [F.col(c).desc_nulls_last() for c in ("l_partkey", "l_suppkey", "l_quantity")]
     return latest_per_key(lines.select(*columns), ["l_orderkey", "l_linenumber"], newest)
 
 
