@@ -4,11 +4,9 @@ from punctual.functions.calendar import (
     actual_bucket,
     day_name,
     day_of_week,
-    is_midnight,
     midnight_day,
     month_name,
     parse_event_time,
-    start_of_day,
 )
 from punctual.functions.delays import (
     delay_category,
@@ -27,7 +25,6 @@ from punctual.functions.measures import (
     merged_measures,
     on_time_percentage,
     percentage,
-    ratio,
     round2,
     share_of,
 )
@@ -42,7 +39,6 @@ __all__ = [
     "delay_category_rank",
     "delay_stddev",
     "event_measures",
-    "is_midnight",
     "is_on_time",
     "is_weekend",
     "merged_measures",
@@ -51,10 +47,8 @@ __all__ = [
     "on_time_percentage",
     "parse_event_time",
     "percentage",
-    "ratio",
     "round2",
     "share_of",
-    "start_of_day",
     "surrogate_key",
     "time_of_day_category",
     "time_of_day_rank",

@@ -1,5 +1,5 @@
-"""Dates and times. Everything works on timestamps without zone, so no result
-depends on the session time zone."""
+"""Dates and times. Arguments are column names or SQL expressions. Everything works on
+timestamps without zone, so no result depends on the session time zone."""
 
 from __future__ import annotations
 
@@ -16,46 +16,42 @@ MONTH_NAMES = [
 ]
 
 
-def parse_event_time(text: Column) -> Column:
+def parse_event_time(text: str) -> Column:
     """UTC text to timestamp without zone; malformed text raises in ANSI mode."""
-    return F.to_timestamp_ntz(text, F.lit(EVENT_TIME_FORMAT))
+    return F.expr(f'to_timestamp_ntz({text}, "{EVENT_TIME_FORMAT}")')
 
 
-def start_of_day(ts: Column) -> Column:
-    return ts.cast("date").cast("timestamp_ntz")
+def _midnight(ts: str) -> str:
+    return f"cast(cast({ts} AS date) AS timestamp_ntz)"
 
 
-def is_midnight(ts: Column) -> Column:
-    return ts == start_of_day(ts)
-
-
-def actual_bucket(ts: Column) -> Column:
+def actual_bucket(ts: str) -> Column:
     """The day of `ts` at noon; a stamp at exactly 00:00:00 stays as it is.
 
     Grouping by this keeps `BETWEEN day AND day` filters exact: a range that ends on
     a day includes that day's midnight stamp and nothing else of it.
     """
-    noon = start_of_day(ts) + F.expr("INTERVAL '12' HOUR")
-    return F.when(is_midnight(ts), ts).otherwise(noon)
+    return F.expr(f"if({ts} = {_midnight(ts)}, {ts}, {_midnight(ts)} + INTERVAL '12' HOUR)")
 
 
-def midnight_day(ts: Column) -> Column:
+def midnight_day(ts: str) -> Column:
     """The ISO day of a stamp at exactly 00:00:00, else NULL."""
-    return F.when(is_midnight(ts), ts.cast("date").cast("string"))
+    return F.expr(f"if({ts} = {_midnight(ts)}, cast(cast({ts} AS date) AS string), NULL)")
 
 
-def day_of_week(ts: Column) -> Column:
+def day_of_week(ts: str) -> Column:
     """0 = Sunday ... 6 = Saturday."""
-    return F.dayofweek(ts) - 1
+    return F.expr(f"dayofweek({ts}) - 1")
 
 
-def _nth(names: list[str], position: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(n) for n in names]), position.cast("int"))
+def _nth(names: list[str], position: str) -> Column:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return F.expr(f"try_element_at(array({listed}), cast({position} AS int))")
 
 
-def day_name(dow: Column) -> Column:
-    return _nth(DAY_NAMES, dow + 1)
+def day_name(dow: str) -> Column:
+    return _nth(DAY_NAMES, f"{dow} + 1")
 
 
-def month_name(month: Column) -> Column:
+def month_name(month: str) -> Column:
     return _nth(MONTH_NAMES, month)

@@ -25,7 +25,7 @@ def day_runs(days: DataFrame, keys: list[str], day: str) -> DataFrame:
         .agg(
             F.min(day).alias(f"first_{day}"),
             F.max(day).alias(f"last_{day}"),
-            F.concat_ws(",", F.array_sort(F.collect_set(midnight_day(F.col(day))))).alias("midnight_days"),
+            F.concat_ws(",", F.array_sort(F.collect_set(midnight_day(day)))).alias("midnight_days"),
         )
         .drop("_run")
     )

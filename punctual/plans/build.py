@@ -18,6 +18,7 @@ from punctual.sources.tables import Warehouse
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 TRAINS, BRONZE_STATIONS = "train_departures", "stations"
+TESTS, REPORT = "tests", "results"
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,7 @@ def load_bronze_trains(warehouse: Warehouse, raw: DataFrame, run_id: str, full:
 def build_silver(warehouse: Warehouse, since: dt.date | None = None) -> None:
     """Rebuild the fact, or only its days from `since` on: a fact day depends on the
     bronze day of the same date and on nothing else."""
-    trains = warehouse.read(BRONZE, TRAINS)
+    trains = warehouse.read_days(BRONZE, TRAINS)
     if since is None:
         warehouse.overwrite_days(_fact(trains), SILVER, FACT)
     else:
@@ -69,7 +70,7 @@ def _fact(trains: DataFrame) -> DataFrame:
 
 
 def build_gold(warehouse: Warehouse) -> None:
-    fact, stations = warehouse.read(SILVER, FACT), warehouse.read(SILVER, STATIONS)
+    fact, stations = warehouse.read_days(SILVER, FACT), warehouse.read(SILVER, STATIONS)
     for name, rollup in ROLLUPS.items():
         warehouse.overwrite(rollup(fact), GOLD, name)
     warehouse.overwrite(gold.station_performance(fact, stations), GOLD, STATION_ROLLUP)
@@ -79,7 +80,9 @@ def stored_marts(warehouse: Warehouse) -> Marts:
     """The tables of a finished build, for the reports."""
 
     def read(name: str) -> DataFrame:
-        return warehouse.read(SILVER if name in (FACT, STATIONS) else GOLD, name)
+        if name == FACT:
+            return warehouse.read_days(SILVER, FACT)
+        return warehouse.read(SILVER if name == STATIONS else GOLD, name)
 
     return Marts.from_tables(read)
 
@@ -87,8 +90,8 @@ def stored_marts(warehouse: Warehouse) -> Marts:
 def stored_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
     tables = {
         BRONZE_STATIONS: warehouse.read(BRONZE, BRONZE_STATIONS),
-        TRAINS: warehouse.read(BRONZE, TRAINS),
-        FACT: warehouse.read(SILVER, FACT),
+        TRAINS: warehouse.read_days(BRONZE, TRAINS),
+        FACT: warehouse.read_days(SILVER, FACT),
         STATIONS: warehouse.read(SILVER, STATIONS),
     }
     return tables | {name: warehouse.read(GOLD, name) for name in GOLD_TABLES}
@@ -113,6 +116,7 @@ def run_daily(
         warehouse.drop_days_before(options.retention_cutoff, layer, name)
     build_gold(warehouse)
 
-    report = run_tests(stored_tables(warehouse), SUITE)
+    warehouse.overwrite(run_tests(stored_tables(warehouse), SUITE), TESTS, REPORT)
+    report = warehouse.read(TESTS, REPORT)
     enforce(report)
     return report

@@ -38,7 +38,7 @@ TRAIN_KEYS = ["trainNumber", "departureDate"]
 
 def commercial(fact: DataFrame) -> DataFrame:
     """Completed commercial stops: the base of every roll-up but the coverage."""
-    return fact.where(F.col("commercial_stop") & F.col("actual_time").isNotNull())
+    return fact.where("commercial_stop AND actual_time IS NOT NULL")
 
 
 def of_pair(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
@@ -46,7 +46,7 @@ def of_pair(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
 
 
 def with_bucket(events: DataFrame) -> DataFrame:
-    return events.withColumn("actual_bucket", actual_bucket(F.col("actual_time")))
+    return events.withColumn("actual_bucket", actual_bucket("actual_time"))
 
 
 def daily_performance(fact: DataFrame) -> DataFrame:
@@ -73,24 +73,21 @@ def train_spans(fact: DataFrame) -> DataFrame:
     """
     keys = [*TRAIN_KEYS, "trainType", "trainCategory"]
     events = with_bucket(commercial(fact)).dropna(subset=TRAIN_KEYS)
-    time_of_day = F.col("time_of_day_category")
     flags = {
-        "has_morning_rush": time_of_day == "morning_rush",
-        "has_off_peak": time_of_day == "off_peak",
-        "has_evening_rush": time_of_day == "evening_rush",
-        "has_weekday": ~F.col("is_weekend"),
-        "has_weekend": F.col("is_weekend"),
+        "has_morning_rush": "time_of_day_category = 'morning_rush'",
+        "has_off_peak": "time_of_day_category = 'off_peak'",
+        "has_evening_rush": "time_of_day_category = 'evening_rush'",
+        "has_weekday": "NOT is_weekend",
+        "has_weekend": "is_weekend",
     }
     train_days = events.groupBy(*keys, "actual_bucket").agg(
-        *[F.bool_or(flag).alias(name) for name, flag in flags.items()]
+        *[F.expr(f"bool_or({flag}) AS {name}") for name, flag in flags.items()]
     )
     trains = train_days.groupBy(*keys).agg(
         F.min("actual_bucket").alias("first_actual_bucket"),
         F.max("actual_bucket").alias("last_actual_bucket"),
-        F.concat_ws(",", F.array_sort(F.collect_set(midnight_day(F.col("actual_bucket"))))).alias(
-            "midnight_days"
-        ),
-        *[F.bool_or(name).alias(name) for name in flags],
+        F.concat_ws(",", F.array_sort(F.collect_set(midnight_day("actual_bucket")))).alias("midnight_days"),
+        *[F.expr(f"bool_or({name}) AS {name}") for name in flags],
     )
     spans = [c for c in trains.columns if c != "trainNumber"]
     return trains.groupBy(*spans).agg(F.count(F.lit(1)).alias("n_trains"))
@@ -146,15 +143,23 @@ def station_performance(
     )
 
 
-def _category_events(category: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("delay_category") == category, F.col("events"))), F.lit(0))
+def _total(measure: str, condition: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum(if({condition}, {measure}, NULL)), 0) AS {name}")
+
+
+def _category_events() -> list[Column]:
+    return [_total("events", f"delay_category = '{c}'", f"n_{c}") for c in KNOWN_CATEGORIES]
+
+
+def _category_shares() -> list[Column]:
+    return [percentage(f"n_{c}", "events").alias(f"{c}_pct") for c in KNOWN_CATEGORIES]
 
 
 def _value_counts(events: DataFrame, *keys: str) -> DataFrame:
     """Events per key and distinct delay, with the additive measures. Its size follows
     the spread of delay values, not the number of events."""
     counts = events.groupBy(*keys, "delay_minutes").agg(*event_measures())
-    return counts.withColumn("delay_category", delay_category(F.col("delay_minutes")))
+    return counts.withColumn("delay_category", delay_category("delay_minutes"))
 
 
 def on_time_performance(fact: DataFrame) -> DataFrame:
@@ -171,7 +176,7 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
         weighted_percentile("delay_minutes", "delay_count", 0.5).alias("median"),
         F.max("delay_minutes").alias("max_delay_minutes"),
         F.min("delay_minutes").alias("min_delay_minutes"),
-        *[_category_events(c).alias(f"n_{c}") for c in KNOWN_CATEGORIES],
+        *_category_events(),
     )
     stations = aggregate_scopes(
         events.select(*scope, "stationShortCode").distinct(),
@@ -192,11 +197,11 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
         F.col("on_time_events").alias("on_time_count"),
         on_time_percentage().alias("on_time_percentage"),
         average_delay().alias("avg_delay_minutes"),
-        round2(F.col("median")).alias("median_delay_minutes"),
+        round2("median").alias("median_delay_minutes"),
         "max_delay_minutes",
         "min_delay_minutes",
         *[F.col(f"n_{c}").alias(name) for c, name in counts.items()],
-        *[percentage(F.col(f"n_{c}"), F.col("events")).alias(f"{c}_pct") for c in KNOWN_CATEGORIES],
+        *_category_shares(),
     )
     main_categories = F.col("metric_scope").isin("Long-distance", "Commuter")
     position = F.when(F.col("metric_scope") == "Overall", 1).when(main_categories, 2).otherwise(3)
@@ -207,11 +212,7 @@ def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
     """Volume, punctuality and delay distribution of two train types side by side."""
     events = of_pair(fact, pair)
     key = "trainType"
-    arrivals, departures = F.col("event_type") == "ARRIVAL", F.col("event_type") == "DEPARTURE"
-
-    def total(measure: str, condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(measure))), F.lit(0))
-
+    arrivals, departures = "event_type = 'ARRIVAL'", "event_type = 'DEPARTURE'"
     delays = (
         _value_counts(events, key, "event_type")
         .groupBy(key)
@@ -223,11 +224,11 @@ def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
                 weighted_percentile("delay_minutes", "delay_count", at).alias(name)
                 for name, at in [("median", 0.5), ("p25", 0.25), ("p75", 0.75), ("p90", 0.9), ("p95", 0.95)]
             ],
-            *[_category_events(c).alias(f"n_{c}") for c in KNOWN_CATEGORIES],
-            total("events", arrivals).alias("arrival_count"),
-            total("events", departures).alias("departure_count"),
-            total("on_time_events", arrivals).alias("arrival_on_time"),
-            total("on_time_events", departures).alias("departure_on_time"),
+            *_category_events(),
+            _total("events", arrivals, "arrival_count"),
+            _total("events", departures, "departure_count"),
+            _total("on_time_events", arrivals, "arrival_on_time"),
+            _total("on_time_events", departures, "departure_on_time"),
         )
     )
     places = events.select(key, "stationShortCode", F.col("scheduled_time").cast("date").alias("day"))
@@ -250,16 +251,16 @@ def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
         F.col("on_time_events").alias("on_time_stops"),
         on_time_percentage().alias("on_time_percentage"),
         average_delay().alias("avg_delay_minutes"),
-        round2(F.col("median")).alias("median_delay_minutes"),
+        round2("median").alias("median_delay_minutes"),
         delay_stddev().alias("stddev_delay_minutes"),
         "min_delay_minutes",
         "max_delay_minutes",
-        *[round2(F.col(p)).alias(f"{p}_delay") for p in ("p25", "p75", "p90", "p95")],
-        *[percentage(F.col(f"n_{c}"), F.col("events")).alias(f"{c}_pct") for c in KNOWN_CATEGORIES],
+        *[round2(p).alias(f"{p}_delay") for p in ("p25", "p75", "p90", "p95")],
+        *_category_shares(),
         "arrival_count",
         "departure_count",
-        percentage(F.col("arrival_on_time"), F.col("arrival_count")).alias("arrival_otp"),
-        percentage(F.col("departure_on_time"), F.col("departure_count")).alias("departure_otp"),
+        percentage("arrival_on_time", "arrival_count").alias("arrival_otp"),
+        percentage("departure_on_time", "departure_count").alias("departure_otp"),
     )
     return _with_verdict(result, pair).orderBy(F.desc("on_time_percentage"), "train_type")
 
@@ -298,7 +299,7 @@ def pair_by_hour(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
 
 
 def pair_by_weekday(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
-    name = day_name(F.col("day_of_week")).alias("day_name")
+    name = day_name("day_of_week").alias("day_name")
     return _pair_breakdown(fact, pair, "day_of_week").select(
         "trainType", "day_of_week", name, *_breakdown_columns()
     )

@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions import average_delay, event_measures, on_time_percentage, percentage, round2
+from punctual.functions import (
+    average_delay,
+    event_measures,
+    merged_measures,
+    on_time_percentage,
+    percentage,
+    round2,
+)
 from punctual.plans.gold import commercial
 
 # Limits of the weather classes and the volume of a top list.
@@ -26,8 +33,8 @@ def archive_summary(archive: DataFrame) -> DataFrame:
     return (
         archive.groupBy("station_code")
         .agg(
-            round2(F.avg("temp_avg_c")).alias("avg_temp"),
-            round2(F.avg("precipitation_mm")).alias("avg_precip"),
+            round2("avg(temp_avg_c)").alias("avg_temp"),
+            round2("avg(precipitation_mm)").alias("avg_precip"),
             F.count(F.lit(1)).alias("days"),
         )
         .orderBy(F.desc("avg_temp"), "station_code")
@@ -55,8 +62,9 @@ def same_day_rows(weather: DataFrame, archive: DataFrame, station_code: str) ->
     """Current readings next to the archive's of one station on the same date. The
     weather date may still be text."""
     one_station = archive.where(F.col("station_code") == station_code)
-    joined = weather.withColumn("date", F.col("date").cast("date")).join(one_station.drop("precipitation_mm", "snow_depth_cm", "wind_speed_kmh"), "date")
-    return joined.select("date", "city", "station_code", "temperature_c", "temp_avg_c")
+    readings = weather.select(F.col("date").cast("date").alias("date"), "city", "temperature_c")
+    normal = one_station.select("date", "station_code", "temp_avg_c")
+    return readings.join(normal, "date").select("date", "city", "station_code", "temperature_c", "temp_avg_c")
 
 
 def temperature_anomaly(weather: DataFrame, archive: DataFrame, station_code: str) -> DataFrame:
@@ -69,16 +77,16 @@ def temperature_anomaly(weather: DataFrame, archive: DataFrame, station_code: st
         .agg(F.avg("temp_avg_c").alias("normal_c"))
     )
     current = weather.select("date", "city", "temperature_c", day_of_year)
-    anomaly = round2(F.col("temperature_c") - F.col("normal_c")).alias("anomaly_c")
+    anomaly = round2("temperature_c - normal_c").alias("anomaly_c")
     return current.join(normal, "day_of_year").select(
-        "date", "city", "temperature_c", round2(F.col("normal_c")).alias("normal_c"), anomaly
+        "date", "city", "temperature_c", round2("normal_c").alias("normal_c"), anomaly
     )
 
 
 def incident_share_of_journey(incidents: DataFrame, routes: DataFrame) -> DataFrame:
     """Delay as a share of the typical journey, for routes that start at the station."""
     journeys = routes.select("route_name", F.col("origin").alias("station"), "typical_duration_min")
-    share = percentage(F.col("delay_minutes"), F.col("typical_duration_min")).alias("delay_share")
+    share = percentage("delay_minutes", "typical_duration_min").alias("delay_share")
     return incidents.join(journeys, "station").select(
         "incident_id", "station", "route_name", "delay_minutes", "typical_duration_min", share
     )
@@ -105,7 +113,7 @@ def weather_vs_punctuality(weather: DataFrame, fact: DataFrame) -> DataFrame:
         .join(_per_day(fact), "date")
         .select(
             "date",
-            round2(F.col("temperature_c")).alias("temperature_c"),
+            round2("temperature_c").alias("temperature_c"),
             "precipitation_mm",
             "events",
             on_time_percentage().alias("otp_percentage"),
@@ -132,7 +140,7 @@ def weather_impact(weather: DataFrame, fact: DataFrame) -> DataFrame:
     days = _per_weather_day(weather).select("date", class_).join(_per_day(fact), "date")
     groups = days.groupBy("weather_class").agg(
         F.count(F.lit(1)).alias("days"),
-        *[F.sum(m).alias(m) for m in ("events", "on_time_events", "delay_sum", "delay_count")],
+        *merged_measures("events", "on_time_events", "delay_sum", "delay_count"),
     )
     return groups.select(
         "weather_class",
@@ -146,9 +154,7 @@ def weather_impact(weather: DataFrame, fact: DataFrame) -> DataFrame:
 def stations_with_attributes(station_performance: DataFrame, attributes: DataFrame) -> DataFrame:
     """Station figures with population and platforms; stations without stay."""
     extra = attributes.select("station_code", "population_nearby", "platforms")
-    per_thousand = round2(
-        F.try_divide(F.col("total_events") * 1000.0, F.col("population_nearby").cast("double"))
-    ).alias("events_per_thousand")
+    per_thousand = round2("try_divide(total_events * 1000.0D, population_nearby)").alias("events_per_thousand")
     return station_performance.join(extra, "station_code", "left").select(
         *station_performance.columns, "population_nearby", "platforms", per_thousand
     )
@@ -179,7 +185,7 @@ def monthly_weather(weather: DataFrame) -> DataFrame:
         weather.groupBy("city", F.year(date).alias("year"), F.month(date).alias("month"))
         .agg(
             F.count(F.lit(1)).alias("days"),
-            round2(F.avg("temperature_c")).alias("avg_temp"),
+            round2("avg(temperature_c)").alias("avg_temp"),
             F.min("temperature_c").alias("min_temp"),
             F.max("temperature_c").alias("max_temp"),
         )

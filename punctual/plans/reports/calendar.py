@@ -10,7 +10,6 @@ from punctual.functions import (
     delay_category_rank,
     delay_stddev,
     month_name,
-    ratio,
     round2,
     share_of,
     time_of_day_rank,
@@ -47,7 +46,7 @@ def rush_hour_performance(marts: Marts) -> DataFrame:
     return (
         stops.join(trains, key, "left")
         .select(key, "events", "trains", otp(), mean())
-        .orderBy(time_of_day_rank(F.col(key)))
+        .orderBy(time_of_day_rank(key))
     )
 
 
@@ -68,7 +67,7 @@ def rush_insight(marts: Marts) -> DataFrame:
 
 def weekday_performance(marts: Marts) -> DataFrame:
     by_day = rolled_up(marts["daily_performance"], "day_of_week")
-    name = day_name(F.col("day_of_week")).alias("day_name")
+    name = day_name("day_of_week").alias("day_name")
     return by_day.select("day_of_week", name, "events", otp(), mean()).orderBy("day_of_week")
 
 
@@ -93,18 +92,17 @@ def weekend_summary(marts: Marts) -> DataFrame:
 
 def weekend_pivot(marts: Marts) -> DataFrame:
     def share(weekend: bool) -> Column:
-        def total(measure: str) -> Column:
-            rows = F.col("is_weekend") == F.lit(weekend)
-            return F.sum(F.when(rows, F.col(measure)).otherwise(0))
+        def total(measure: str) -> str:
+            return f"sum(if(is_weekend = {weekend}, {measure}, 0))"
 
-        return round2(ratio(total("on_time_events"), total("events")) * 100.0)
+        return round2(f"try_divide(cast({total('on_time_events')} AS double), {total('events')}) * 100.0D")
 
     return marts["daily_performance"].agg(share(False).alias("weekday_otp"), share(True).alias("weekend_otp"))
 
 
 def monthly_trends(marts: Marts) -> DataFrame:
     by_month = rolled_up(marts["daily_performance"], "scheduled_month")
-    name = month_name(F.col("scheduled_month")).alias("month_name")
+    name = month_name("scheduled_month").alias("month_name")
     return by_month.select("scheduled_month", name, "events", otp(), mean()).orderBy("scheduled_month")
 
 
@@ -133,9 +131,9 @@ def best_worst_days(marts: Marts) -> DataFrame:
 def delay_accumulation(marts: Marts) -> DataFrame:
     groups = marts["hourly_delay_categories"].groupBy("scheduled_hour", "delay_category")
     counts = groups.agg(F.sum("events").alias("events"))
-    share = share_of(F.col("events"), "scheduled_hour").alias("percentage")
+    share = share_of("events", "scheduled_hour").alias("percentage")
     return counts.select("scheduled_hour", "delay_category", "events", share).orderBy(
-        "scheduled_hour", delay_category_rank(F.col("delay_category"))
+        "scheduled_hour", delay_category_rank("delay_category")
     )
 
 

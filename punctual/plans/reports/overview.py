@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions import percentage
+from punctual.functions import merged_measures, percentage
 from punctual.plans.marts import Marts
 from punctual.plans.reports.common import otp, rolled_up
 
@@ -108,15 +108,13 @@ def worst_hour(marts: Marts) -> DataFrame:
 
 def rush_verdict(marts: Marts) -> DataFrame:
     """Morning rush against all events, as the headline sentence puts it."""
-    rush = F.col("time_of_day_category") == "morning_rush"
-    hours = marts["hourly_delay_categories"]
-    totals = hours.agg(
-        F.sum(F.when(rush, F.col("on_time_events"))).alias("rush_on_time"),
-        F.sum(F.when(rush, F.col("events"))).alias("rush_events"),
-        F.sum("on_time_events").alias("on_time_events"),
-        F.sum("events").alias("events"),
+    rush = "FILTER (WHERE time_of_day_category = 'morning_rush')"
+    totals = marts["hourly_delay_categories"].agg(
+        F.expr(f"sum(on_time_events) {rush} AS rush_on_time"),
+        F.expr(f"sum(events) {rush} AS rush_events"),
+        *merged_measures("on_time_events", "events"),
     )
-    rush_otp = percentage(F.col("rush_on_time"), F.col("rush_events")).alias("morning_rush_otp")
+    rush_otp = percentage("rush_on_time", "rush_events").alias("morning_rush_otp")
     shares = totals.select(rush_otp, otp())
     below = F.col("morning_rush_otp") < F.col("otp_percentage")
     return shares.withColumn("verdict", F.when(below, "below").otherwise("slightly above"))

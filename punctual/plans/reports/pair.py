@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions import average_delay, delay_category_rank, on_time_percentage, round2, share_of
+from punctual.functions import (
+    average_delay,
+    delay_category_rank,
+    merged_measures,
+    on_time_percentage,
+    round2,
+    share_of,
+)
 from punctual.operators.ranges import last_days
 from punctual.plans.gold import PAIR
 from punctual.plans.marts import Marts
@@ -27,7 +34,7 @@ def period_metrics(marts: Marts, days: int = DEFAULT_DAYS, pair: tuple[str, str]
     stations = F.countDistinct("stationShortCode").alias("stations")
     per_station = rolled_up(_recent(marts, "pair_station_daily", days), "trainType", "stationShortCode")
     stops = per_station.groupBy("trainType").agg(
-        *[F.sum(m).alias(m) for m in ("events", "on_time_events", "delay_sum", "delay_count")], stations
+        *merged_measures("events", "on_time_events", "delay_sum", "delay_count"), stations
     )
     spans = _recent(marts, "train_spans", days).where(F.col("trainType").isin(*pair))
     return stops.join(trains_per(spans, "trainType"), "trainType", "left").select(
@@ -49,13 +56,13 @@ def comparison_summary(marts: Marts, days: int = DEFAULT_DAYS) -> DataFrame:
     return period_metrics(marts, days).orderBy(F.desc_nulls_last("on_time_percentage"), "train_type")
 
 
-def _of(train_type: str, column: str) -> Column:
-    return F.max(F.when(F.col("train_type") == train_type, F.col(column)))
+def _of(train_type: str, column: str) -> str:
+    return f"max(if(train_type = '{train_type}', {column}, NULL))"
 
 
-def _times(a: Column, b: Column) -> Column:
+def _times(a: str, b: str) -> Column:
     """How many times more, one digit; NULL if either side is absent or zero."""
-    return F.when((a != 0) & (b != 0), F.floor(a / b * 10.0 + 0.5) / 10.0)
+    return F.expr(f"if({a} <> 0 AND {b} <> 0, floor({a} / {b} * 10.0D + 0.5D) / 10.0D, NULL)")
 
 
 def complexity_ratios(marts: Marts, days: int = DEFAULT_DAYS, pair: tuple[str, str] = PAIR) -> DataFrame:
@@ -72,9 +79,9 @@ def performance_gap(marts: Marts, days: int = DEFAULT_DAYS, pair: tuple[str, str
     first, second = pair
     otp_, delay = "on_time_percentage", "avg_delay_minutes"
     return period_metrics(marts, days, pair).agg(
-        round2(_of(second, otp_) - _of(first, otp_)).alias("otp_gap"),
-        round2(_of(first, delay) - _of(second, delay)).alias("delay_gap"),
-        round2(F.try_divide(_of(first, delay), _of(second, delay))).alias("delay_multiplier"),
+        round2(f"{_of(second, otp_)} - {_of(first, otp_)}").alias("otp_gap"),
+        round2(f"{_of(first, delay)} - {_of(second, delay)}").alias("delay_gap"),
+        round2(f"try_divide({_of(first, delay)}, {_of(second, delay)})").alias("delay_multiplier"),
     )
 
 
@@ -85,8 +92,8 @@ def delay_distribution(marts: Marts, days: int = DEFAULT_DAYS) -> DataFrame:
         F.col("trainType").alias("train_type"),
         "delay_category",
         "events",
-        share_of(F.col("events"), "trainType").alias("percentage"),
-    ).orderBy("train_type", delay_category_rank(F.col("delay_category")))
+        share_of("events", "trainType").alias("percentage"),
+    ).orderBy("train_type", delay_category_rank("delay_category"))
 
 
 def hourly_comparison(marts: Marts, days: int = DEFAULT_DAYS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions import average_delay, event_measures, on_time_percentage, ratio
+from punctual.functions import average_delay, event_measures, merged_measures, on_time_percentage
 from punctual.plans.gold import commercial
 from punctual.plans.marts import FACT, STATIONS, Marts
 
@@ -45,7 +45,7 @@ def region_delay(marts: Marts) -> DataFrame:
         .groupBy("region")
         .agg(
             F.countDistinct("trainNumber").alias("trains"),
-            *[F.sum(m).alias(m) for m in ("delay_sum", "delay_count")],
+            *merged_measures("delay_sum", "delay_count"),
         )
     )
     return regions.select("region", "trains", average_delay().alias("avg_delay")).orderBy(
@@ -71,7 +71,7 @@ def station_star(marts: Marts) -> DataFrame:
     groups = (
         per_station.join(stations, "stationShortCode")
         .groupBy("stationName", "region", "trainType")
-        .agg(*[F.sum(m).alias(m) for m in ("events", "delay_sum", "delay_count")])
+        .agg(*merged_measures("events", "delay_sum", "delay_count"))
     )
-    mean = ratio(F.col("delay_sum"), F.col("delay_count")).alias("avg_delay")
+    mean = F.expr("try_divide(cast(delay_sum AS double), delay_count) AS avg_delay")
     return groups.select("stationName", "region", "trainType", "events", mean)

@@ -7,7 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions import average_delay, delay_category_rank, delay_stddev, round2, share_of
+from punctual.functions import (
+    average_delay,
+    delay_category_rank,
+    delay_stddev,
+    merged_measures,
+    round2,
+    share_of,
+)
 from punctual.operators.histogram import weighted_percentile
 from punctual.operators.ranges import in_range, overlaps
 from punctual.plans.marts import Marts
@@ -78,7 +85,7 @@ def category_performance(marts: Marts) -> DataFrame:
     per_type = rolled_up(marts["daily_performance"], *KEYS)
     stops = per_type.groupBy("trainCategory").agg(
         F.count("trainType").alias("train_types"),  # one row per type here, NULL not counted
-        *[F.sum(m).alias(m) for m in ("events", "on_time_events", "delay_sum", "delay_count")],
+        *merged_measures("events", "on_time_events", "delay_sum", "delay_count"),
     )
     trains = trains_per(marts["train_spans"], "trainCategory")
     return (
@@ -101,9 +108,9 @@ def delay_by_type(marts: Marts, min_rows: int = MIN_ROWS) -> DataFrame:
     large = rows.where(F.col("rows") >= min_rows)
     groups = marts["hourly_delay_categories"].groupBy("trainType", "delay_category")
     counts = groups.agg(F.sum("events").alias("events")).join(large, "trainType", "left_semi")
-    share = share_of(F.col("events"), "trainType").alias("percentage")
+    share = share_of("events", "trainType").alias("percentage")
     return _with_labels(counts, "delay_category", "events", share).orderBy(
-        "train_type", delay_category_rank(F.col("delay_category"))
+        "train_type", delay_category_rank("delay_category")
     )
 
 
@@ -121,7 +128,7 @@ def consistency(marts: Marts, min_trains: int = MIN_TRAINS) -> DataFrame:
         marts["delay_histogram"]
         .groupBy("trainType")
         .agg(
-            *[F.sum(m).alias(m) for m in ("delay_count", "delay_sum", "delay_sumsq")],
+            *merged_measures("delay_count", "delay_sum", "delay_sumsq"),
             F.min("delay_minutes").alias("min_delay"),
             F.max("delay_minutes").alias("max_delay"),
             weighted_percentile("delay_minutes", "delay_count", 0.5).alias("median"),
@@ -135,7 +142,7 @@ def consistency(marts: Marts, min_trains: int = MIN_TRAINS) -> DataFrame:
         delay_stddev().alias("delay_stddev"),
         "min_delay",
         "max_delay",
-        round2(F.col("median")).alias("median_delay"),
+        round2("median").alias("median_delay"),
     ).orderBy(F.asc_nulls_last("delay_stddev"), F.asc_nulls_last("train_type"))
 
 

@@ -63,17 +63,16 @@ def timetable_unnested(trains: DataFrame) -> DataFrame:
 
 def with_event_attributes(events: DataFrame) -> DataFrame:
     """Add everything that follows from scheduled_time and delay_minutes."""
-    scheduled, delay = F.col("scheduled_time"), F.col("delay_minutes")
     return events.withColumns(
         {
-            "scheduled_hour": F.hour(scheduled),
-            "day_of_week": day_of_week(scheduled),
-            "scheduled_month": F.month(scheduled),
-            "scheduled_year": F.year(scheduled),
-            "is_on_time": is_on_time(delay),
-            "delay_category": delay_category(delay),
-            "time_of_day_category": time_of_day_category(F.hour(scheduled)),
-            "is_weekend": is_weekend(day_of_week(scheduled)),
+            "scheduled_hour": F.hour("scheduled_time"),
+            "day_of_week": day_of_week("scheduled_time"),
+            "scheduled_month": F.month("scheduled_time"),
+            "scheduled_year": F.year("scheduled_time"),
+            "is_on_time": is_on_time("delay_minutes"),
+            "delay_category": delay_category("delay_minutes"),
+            "time_of_day_category": time_of_day_category("hour(scheduled_time)"),
+            "is_weekend": is_weekend("(dayofweek(scheduled_time) - 1)"),
         }
     )
 
@@ -84,8 +83,8 @@ def fact_timetable_events(unnested: DataFrame) -> DataFrame:
     parsed = unnested.select(
         key.alias("sk_event"),
         *[c for c in unnested.columns if c not in ("scheduledTime", "actualTime")],
-        parse_event_time(F.col("scheduledTime")).alias("scheduled_time"),
-        parse_event_time(F.col("actualTime")).alias("actual_time"),
+        parse_event_time("scheduledTime").alias("scheduled_time"),
+        parse_event_time("actualTime").alias("actual_time"),
     )
     return with_event_attributes(parsed)
 

@@ -27,7 +27,10 @@ class Warehouse:
         return files.exists(self.spark, f"{self.path(layer, name)}/*")
 
     def read(self, layer: str, name: str) -> DataFrame:
-        """The table; a column that older files lack reads as NULL there."""
+        return self.spark.read.parquet(self.path(layer, name))
+
+    def read_days(self, layer: str, name: str) -> DataFrame:
+        """A day-partitioned table; a column that older days lack reads as NULL there."""
         return self.spark.read.option("mergeSchema", True).parquet(self.path(layer, name))
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:

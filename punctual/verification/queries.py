@@ -170,9 +170,9 @@ def built_from_landing(spark: SparkSession, folder: str) -> DataFrame:
     landing.land(sample.nested_trains(spark, folder), f"{root}/landed")
     warehouse = Warehouse(spark, f"{root}/warehouse")
     load_bronze_trains(warehouse, landing.read_landed(spark, f"{root}/landed"), "run", full=True)
-    fact = silver.fact_timetable_events(silver.timetable_unnested(warehouse.read(BRONZE, TRAINS)))
+    fact = silver.fact_timetable_events(silver.timetable_unnested(warehouse.read_days(BRONZE, TRAINS)))
     warehouse.overwrite_days(fact, SILVER, FACT)
-    return gold.on_time_performance(warehouse.read(SILVER, FACT))
+    return gold.on_time_performance(warehouse.read_days(SILVER, FACT))
 
 
 def streamed_from_landing(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,7 +184,7 @@ def streamed_from_landing(spark: SparkSession, folder: str) -> DataFrame:
     load_landed_days(spark, f"{root}/landed", warehouse, f"{root}/checkpoint", "run")
     landing.land(trains.where(F.col("departureDate") >= F.lit(RELOAD_FROM)), f"{root}/landed")
     load_landed_days(spark, f"{root}/landed", warehouse, f"{root}/checkpoint", "run")
-    loaded = warehouse.read(BRONZE, TRAINS)
+    loaded = warehouse.read_days(BRONZE, TRAINS)
     return loaded.groupBy("departureDate").agg(
         F.count(F.lit(1)).alias("trains"), F.sum(F.size("timeTableRows")).alias("timetable_rows")
     )
@@ -207,14 +207,14 @@ def reload_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     window = rows.where(F.col("departureDate") >= F.lit(RELOAD_FROM))
     for _ in range(2):
         warehouse.replace_days(window, SILVER, "events")
-    return _day_counts(warehouse.read(SILVER, "events"))
+    return _day_counts(warehouse.read_days(SILVER, "events"))
 
 
 def retention_delete(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = Warehouse(spark, scratch_dir(spark, "retention"))
     warehouse.overwrite_days(sample.event_rows(spark, folder), SILVER, "events")
     warehouse.drop_days_before(RETENTION_CUTOFF, SILVER, "events")
-    return _day_counts(warehouse.read(SILVER, "events"))
+    return _day_counts(warehouse.read_days(SILVER, "events"))
 
 
 def schema_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,7 +225,7 @@ def schema_append(spark: SparkSession, folder: str) -> DataFrame:
     window = rows.where(F.col("departureDate") >= F.lit(RELOAD_FROM))
     warehouse.replace_days(window.withColumn("delay_band", F.floor(F.col("delay_minutes") / 10)), SILVER, "events")
     return (
-        warehouse.read(SILVER, "events")
+        warehouse.read_days(SILVER, "events")
         .groupBy("departureDate")
         .agg(F.count(F.lit(1)).alias("events"), F.count("delay_band").alias("with_band"))
     )

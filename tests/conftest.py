@@ -25,6 +25,10 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "2",
             "spark.default.parallelism": "2",
+            # compiling takes longer than running on a few rows; the registered queries
+            # are tested with code generation on
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.sql.sources.parallelPartitionDiscovery.parallelism": "2",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",

@@ -38,7 +38,7 @@ def site(staging, tmp_path):
 
 
 def per_day(spark, root, layer=build.SILVER, name=build.FACT):
-    table = Warehouse(spark, root).read(layer, name)
+    table = Warehouse(spark, root).read_days(layer, name)
     return {r.departureDate: r["count"] for r in table.groupBy("departureDate").count().collect()}
 
 
@@ -68,7 +68,7 @@ def test_reload_replaces_the_window_and_nothing_else(spark, site):
     staging.path(day(20)).write_text("[{", encoding="utf-8")  # broken, outside the window
     run_daily(spark, str(staging.root), root, options())
     assert per_day(spark, root) == before | {day(1): 6}
-    loaded = Warehouse(spark, root).read(build.BRONZE, build.TRAINS)
+    loaded = Warehouse(spark, root).read_days(build.BRONZE, build.TRAINS)
     assert loaded.where("departureDate = '2024-01-09'").count() == 3
 
 
@@ -129,7 +129,7 @@ def test_new_column_is_appended(spark, tmp_path):
     warehouse.overwrite_days(old, "bronze", "t")
     new = spark.createDataFrame([(3, "x", day(0))], "n int, extra string, departureDate date")
     warehouse.replace_days(new, "bronze", "t")
-    got = {(r.n, r.extra) for r in warehouse.read("bronze", "t").collect()}
+    got = {(r.n, r.extra) for r in warehouse.read_days("bronze", "t").collect()}
     assert got == {(1, None), (3, "x")}
     assert warehouse.days("bronze", "t") == [day(1), day(0)]
 

@@ -12,6 +12,17 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = registered()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def code_generation(spark):
+    changed = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
