@@ -27,29 +27,6 @@ def aggregate_scopes(df: DataFrame, *aggregates: Column) -> DataFrame:
     return grouped.agg(*_scope(type_, category), *aggregates).drop(TYPE, CATEGORY)
 
 
-def count_trains_by_scope(runs: DataFrame, name: str) -> DataFrame:
-    """Number of distinct trains per scope.
-
-    `runs` holds (trainNumber, departureDate, type, category), duplicates allowed. They
-    are removed first; a second step per train lists the scopes it counts in, and only
-    (scope, 1) rows reach the last, tiny aggregation.
-    """
-    distinct = runs.distinct()
-    per_train = distinct.groupBy("trainNumber", "departureDate").agg(
-        F.collect_set(F.struct(TYPE, CATEGORY)).alias("groups")
-    )
-
-    def scope(rank: int, value: Column) -> Column:
-        return F.struct(F.lit(rank).alias("scope_rank"), value.alias("scope_value"))
-
-    scopes = F.concat(
-        F.array(scope(OVERALL, F.lit(None).cast("string"))),
-        F.array_distinct(F.transform("groups", lambda g: scope(BY_TYPE, g[TYPE]))),
-        F.array_distinct(F.transform("groups", lambda g: scope(BY_CATEGORY, g[CATEGORY]))),
-    )
-    return per_train.select(F.inline(scopes)).groupBy(*KEYS).agg(F.count(F.lit(1)).alias(name))
-
-
 def empty_total(spark: SparkSession, *counts: str) -> DataFrame:
     """The total's row with zero counts: a total exists even without rows."""
     return spark.range(1).select(

@@ -25,7 +25,7 @@ from punctual.functions import (
 )
 from punctual.operators.histogram import weighted_percentile
 from punctual.operators.runs import day_runs
-from punctual.operators.scopes import KEYS, OVERALL, aggregate_scopes, count_trains_by_scope, empty_total, fold
+from punctual.operators.scopes import KEYS, OVERALL, aggregate_scopes, empty_total, fold
 
 # The compared pair of train types, volume gates, category names.
 PAIR = ("IC", "HDM")
@@ -166,7 +166,7 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
     """Metrics for all events, per train type and per train category.
 
     Three narrow passes (delays, stations, trains) each end in a table of a few rows
-    per scope; the event rows themselves are never expanded per scope.
+    per scope. Only de-duplicated rows are expanded per scope, never the events.
     """
     events = commercial(fact)
     scope = ["trainType", "trainCategory"]
@@ -182,8 +182,10 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
         events.select(*scope, "stationShortCode").distinct(),
         F.countDistinct("stationShortCode").alias("total_stations"),
     )
-    runs = events.dropna(subset=TRAIN_KEYS).select(*TRAIN_KEYS, *scope)
-    trains = count_trains_by_scope(runs, "total_trains")
+    trains = aggregate_scopes(
+        events.select(*TRAIN_KEYS, *scope).distinct(),
+        F.countDistinct(*TRAIN_KEYS).alias("total_trains"),  # leaves out NULL key parts
+    )
 
     scope_name = F.when(F.col("scope_rank") == OVERALL, "Overall").otherwise(F.col("scope_value"))
     counts = {c: f"{c}_count" for c in KNOWN_CATEGORIES} | {"on_time": "on_time_count_strict"}
