@@ -13,12 +13,13 @@ from punctual.operators.quality import enforce, run_tests
 from punctual.plans import bronze, gold, silver
 from punctual.plans.marts import FACT, GOLD_TABLES, ROLLUPS, STATION_ROLLUP, STATIONS, Marts
 from punctual.plans.quality_suite import SUITE
-from punctual.sources import day_files
+from punctual.sources import day_files, landing
 from punctual.sources.tables import Warehouse
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 TRAINS, BRONZE_STATIONS = "train_departures", "stations"
 TESTS, REPORT = "tests", "results"
+LOADS, COVERAGE = "load_runs", "coverage_record"
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,13 @@ def load_bronze_trains(warehouse: Warehouse, raw: DataFrame, run_id: str, full:
         warehouse.replace_days(trains, BRONZE, TRAINS)
 
 
+def record_load(warehouse: Warehouse, run_id: str, since: dt.date | None, today: dt.date) -> None:
+    """Append what a load brought to the list of loads."""
+    loaded = warehouse.read_days(BRONZE, TRAINS).where(F.col("_run_id") == run_id)
+    summary = landing.load_summary(loaded, since, today)
+    warehouse.append(summary.withColumn("run_id", F.lit(run_id)), BRONZE, LOADS)
+
+
 def build_silver(warehouse: Warehouse, since: dt.date | None = None) -> None:
     """Rebuild the fact, or only its days from `since` on: a fact day depends on the
     bronze day of the same date and on nothing else."""
@@ -111,10 +119,13 @@ def run_daily(
     warehouse.overwrite(stations, BRONZE, BRONZE_STATIONS)
     since = None if full else options.reload_from
     load_bronze_trains(warehouse, day_files.read_trains(spark, staging, since), run_id, full)
+    record_load(warehouse, run_id, since, options.today)
     build_silver(warehouse, since)
     for layer, name in ((BRONZE, TRAINS), (SILVER, FACT)):
         warehouse.drop_days_before(options.retention_cutoff, layer, name)
     build_gold(warehouse)
+    trains = warehouse.read_days(BRONZE, TRAINS)
+    warehouse.overwrite(landing.coverage_record(trains), GOLD, COVERAGE)
 
     warehouse.overwrite(run_tests(stored_tables(warehouse), SUITE), TESTS, REPORT)
     report = warehouse.read(TESTS, REPORT)

@@ -47,12 +47,17 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
         fs.delete(target, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished file in place; readers see the old state or the new one."""
+    from_path, fs = _hadoop(spark, source)
+    to_path, _ = _hadoop(spark, target)
+    fs.delete(to_path, False)
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def move_into(spark: SparkSession, paths: Iterable[str], folder: str) -> None:
     target, fs = _hadoop(spark, folder)
     fs.mkdirs(target)
     for path in paths:
-        source, _ = _hadoop(spark, path)
-        destination, _ = _hadoop(spark, f"{folder}/{source.getName()}")
-        fs.delete(destination, False)
-        if not fs.rename(source, destination):
-            raise OSError(f"could not move {path} to {folder}")
+        rename(spark, path, f"{folder}/{path.rsplit('/', 1)[1]}")

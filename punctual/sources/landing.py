@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -103,18 +104,35 @@ def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
     return bad_files(rows.where(name.rlike("^" + DAY_PATTERN)))
 
 
-def _paths(df: DataFrame, column: str) -> list[str]:
-    """File names only: the list is as long as the folder listing it came from."""
-    return [row[0] for row in df.select(column).distinct().collect()]
+def compress_plain_days(spark: SparkSession, root: str, dry_run: bool = False) -> DataFrame:
+    """Gzip the plain day files that have no gzipped twin and parse; one row with the
+    number of files and the bytes before and after.
 
-
-def compact_plain_days(spark: SparkSession, root: str, landed: str) -> None:
-    """Rewrite the readable plain day files as compressed landed days."""
-    plain = list_day_files(spark, root).where(~F.col("is_gzip"))
-    paths = _paths(plain, "path")
-    if paths:
-        rows = spark.read.schema(schemas.TRAIN).option("multiLine", True).option("mode", "FAILFAST").json(paths)
-        land(rows, landed, compress=True)
+    Tasks compress whole files side by side into a folder of their own; each result is
+    then renamed into place and the plain file goes. A dry run only counts.
+    """
+    day_files = list_day_files(spark, root)
+    twins = redundant_files(day_files).select("path")
+    broken = unreadable_files(spark, root).select(F.col(SOURCE_PATH).alias("path"))
+    plain = day_files.where(~F.col("is_gzip") & F.col("day").isNotNull())
+    plain = plain.join(twins, "path", "left_anti").join(broken, "path", "left_anti")
+    todo = {r.name: r for r in plain.collect()}  # file names, bounded by the listing
+    after = 0
+    if todo and not dry_run:
+        staged = f"{root}/_compressing-{uuid.uuid4().hex}"
+        texts = spark.read.option("wholetext", True).text([r.path for r in todo.values()])
+        named = texts.select("value", F.col("_metadata.file_name").alias("name"))
+        named.write.partitionBy("name").option("compression", "gzip").text(staged)
+        for row in files.list_files(spark, f"{staged}/*/part-*").collect():
+            source = todo[row.path.split("/name=", 1)[1].split("/", 1)[0]].path
+            files.rename(spark, row.path, f"{source}.gz")
+            files.delete(spark, [source])
+            after += row.size
+        files.delete(spark, [staged])
+    before = sum(r.size for r in todo.values())
+    return spark.createDataFrame(
+        [(len(todo), before, after)], "files bigint, bytes_before bigint, bytes_after bigint"
+    )
 
 
 def tidy(spark: SparkSession, root: str, cutoff: dt.date, dry_run: bool = False) -> DataFrame:
@@ -147,13 +165,19 @@ def tidy(spark: SparkSession, root: str, cutoff: dt.date, dry_run: bool = False)
 
 
 def load_summary(
-    trains: DataFrame, start: dt.date, end: dt.date, station: str | None = None, compress: bool = True
+    trains: DataFrame,
+    start: dt.date | None,
+    end: dt.date,
+    station: str | None = None,
+    compress: bool = True,
 ) -> DataFrame:
-    """One row that records a load: range, days, trains, options, time."""
+    """One row that records a load: range (no start for everything), days, trains,
+    options, time."""
+    requested = None if start is None else (end - start).days + 1
     return trains.agg(
-        F.lit(start).alias("start_date"),
+        F.lit(start).cast("date").alias("start_date"),
         F.lit(end).alias("end_date"),
-        F.lit((end - start).days + 1).alias("days_requested"),
+        F.lit(requested).cast("int").alias("days_requested"),
         F.countDistinct(DAY).alias("days_loaded"),
         F.count(F.lit(1)).alias("total_trains"),
         F.lit(station).cast("string").alias("station_filter"),

@@ -87,11 +87,12 @@ def _on_lineitem(
     fact several times gets it stored, so that the joins run once."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        fact = sample.lineitem_fact(spark, folder, train_type, category)
+        rows = sample.lineitem_rows(spark, folder, train_type, category)
         if stored:
             path = scratch_dir(spark, "fact")
-            fact.write.parquet(path)
-            fact = spark.read.schema(fact.schema).parquet(path)
+            rows.write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
+        fact = silver.with_event_attributes(rows)
         return report(Marts.from_fact(fact, sample.supplier_stations(spark, folder)), *args, **kwargs)
 
     return query

@@ -64,6 +64,10 @@ def test_reload_replaces_the_window_and_nothing_else(spark, site):
 
     late = [train(i, day(1), rows_on(day(1), 30)) for i in (1, 2, 3)]
     staging.write(day(1), late)
+    loads = Warehouse(spark, root).read(build.BRONZE, build.LOADS).orderBy("load_time").collect()
+    assert [(r.days_requested, r.days_loaded, r.total_trains) for r in loads] == [(None, 5, 10), (3, 3, 6)]
+    covered = Warehouse(spark, root).read(build.GOLD, build.COVERAGE).head()
+    assert (covered.data_from, covered.data_through, covered.days) == (day(4), day(0), 5)
     staging.write(day(4), [])  # outside the window: needs a full refresh
     staging.path(day(20)).write_text("[{", encoding="utf-8")  # broken, outside the window
     run_daily(spark, str(staging.root), root, options())

@@ -206,9 +206,20 @@ def test_tidy(spark, untidy):
     assert planned(landing.tidy(spark, root, next_day(-30))) == []
 
 
-def test_compact_plain_days(spark, staging, tmp_path):
-    staging.write(DAY, [train(1, DAY, ROWS)])
-    with gzip.open(staging.path(next_day(1), ".json.gz"), "wt") as out:
-        out.write("[]")
-    landing.compact_plain_days(spark, str(staging.root), str(tmp_path / "landed"))
-    assert numbers(landing.read_landed(spark, str(tmp_path / "landed"))) == [1]
+def test_compress_plain_days(spark, untidy):
+    root = str(untidy.root)
+    counted = landing.compress_plain_days(spark, root, dry_run=True).head()
+    assert (counted.files, counted.bytes_after) == (1, 0) and counted.bytes_before > 0
+    plain = untidy.path(next_day(2))
+    text = plain.read_text(encoding="utf-8")
+    done = landing.compress_plain_days(spark, root).head()
+    assert (done.files, done.bytes_before) == (1, len(text.encode())) and 0 < done.bytes_after < done.bytes_before
+    assert not plain.exists()
+    with gzip.open(untidy.path(next_day(2), ".json.gz"), "rt", encoding="utf-8") as packed:
+        assert packed.read().rstrip("\n") == text
+    # the twin and the broken file are left to tidy
+    assert untidy.path(DAY).exists() and untidy.path(next_day(1)).exists()
+    assert not [p for p in untidy.root.iterdir() if p.name.startswith("_compressing")]
+    assert landing.compress_plain_days(spark, root).head().files == 0
+    landing.tidy(spark, root, next_day(-30))
+    assert len(day_files.read_trains(spark, root).collect()) == 2
