@@ -27,6 +27,7 @@ TABLES = {
     "null_count bigint, distinct_count bigint",
 }
 ALL = "all"
+IDS_PER_ROW = 10_000  # files per row of a snapshot, on average
 
 
 class Manifest:
@@ -136,10 +137,12 @@ class Manifest:
         self._append("schema_versions", row)
 
     def _snapshot(self, dataset_id: str, operation: str) -> None:
-        """A snapshot lists the files of its state: a list of names, as long as the
-        folder listing."""
+        """A snapshot lists the files of its state, in as many rows as it takes to keep
+        each list short."""
         number = self.table("snapshots").agg(F.coalesce(F.max("snapshot_id"), F.lit(0)) + 1).head()[0]
-        state = self._of("partitions", dataset_id).agg(
+        partitions = self._of("partitions", dataset_id)
+        chunks = partitions.count() // IDS_PER_ROW + 1
+        state = partitions.groupBy(F.pmod(F.xxhash64("partition_id"), F.lit(chunks)).alias("chunk")).agg(
             F.array_sort(F.collect_list("partition_id")).alias("partition_ids"),
             F.sum("row_count").alias("row_count"),
         )
@@ -165,8 +168,14 @@ class Manifest:
         return T.StructType.fromJson(json.loads(last.schema_json))
 
     def snapshots(self, dataset_id: str | None = None) -> DataFrame:
+        """One row per snapshot, in order, with its number of files and rows."""
         rows = self.table("snapshots") if dataset_id is None else self._of("snapshots", dataset_id)
-        return rows.orderBy("snapshot_id")
+        grouped = rows.groupBy("snapshot_id", "dataset_id", "operation").agg(
+            F.min("snapshot_timestamp").alias("snapshot_timestamp"),
+            F.sum(F.size("partition_ids")).alias("files"),
+            F.sum("row_count").alias("row_count"),
+        )
+        return grouped.orderBy("snapshot_id")
 
     def file_stats(self, dataset_id: str, column: str) -> DataFrame:
         """Files of a dataset with the range of one column."""

@@ -43,12 +43,24 @@ def test_snapshots_and_schema_versions(dataset):
     assert manifest.schema_versions("w").count() == 1
     add([(dt.date(2024, 3, 1), 3, "c", True)], schema="day date, v int, s string, extra boolean")
     listed = manifest.snapshots("w").collect()
-    assert [(r.snapshot_id, len(r.partition_ids), r.row_count) for r in listed] == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
+    assert [(r.snapshot_id, r.files, r.row_count) for r in listed] == [(1, 1, 1), (2, 2, 2), (3, 3, 3)]
     assert [r.v for r in manifest.read_snapshot(1).collect()] == [1]
     assert sorted(r.v for r in manifest.read_snapshot(2).collect()) == [1, 2]
     assert sorted(r.v for r in manifest.read("w").collect()) == [1, 2, 3]
 
 
+def test_a_long_snapshot_takes_several_rows(dataset, monkeypatch):
+    manifest, add = dataset
+    monkeypatch.setattr("punctual.sources.manifest.IDS_PER_ROW", 1)
+    for d in range(1, 6):
+        add([(dt.date(2024, 1, d), d, "a")], stats=["v"], distinct=[])
+    last = manifest.snapshots("w").collect()[-1]
+    assert (last.snapshot_id, last.files, last.row_count) == (5, 5, 5)
+    assert manifest.table("snapshots").where("snapshot_id = 5").count() > 1
+    assert sorted(r.v for r in manifest.read_snapshot(5).collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.v for r in manifest.read_snapshot(3).collect()) == [1, 2, 3]
+
+
 def test_pruning(dataset):
     manifest, add = dataset
     add([(dt.date(2024, 1, d), d, "a") for d in (1, 9)])

@@ -56,7 +56,9 @@ def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "fact")
     sample.event_fact(spark, FOLDER).write.parquet(path)
     text = plan(gold.daily_performance(spark.read.parquet(path)))
-    assert "PushedFilters: [IsNotNull(commercial_stop), IsNotNull(actual_time), EqualTo(commercial_stop,true)]" in text
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    for condition in ("IsNotNull(actual_time)", "EqualTo(commercial_stop,true)"):
+        assert condition in pushed
 
 
 def test_period_prunes_day_folders(spark, tmp_path):
