@@ -22,7 +22,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     judged = quality.judged(docs, table(spark, sf_dir, "labels"))
-    return judged.where("predicted = 1").select(*docs.columns)
+    kept = judged.where("predicted = 1").select(*docs.columns)
+    return Scratch(spark, "quality").store(kept, "kept", quality.TEXTS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in training sequences."""
-    return packing.packed(docs, public_tokenizers.path(VOCABULARY))
+    return packing.packed(docs, Scratch(spark, "packing"), public_tokenizers.path(VOCABULARY))
 
 
 STAGES: list[tuple[str, Stage]] = [

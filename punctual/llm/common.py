@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from punctual.session import scratch_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-SETTLED = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
@@ -39,10 +39,11 @@ class Scratch:
         self.spark = spark
         self.root = scratch_dir(spark, label)
 
-    def store(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, batch: int = 10_000) -> DataFrame:
+        """`df` as a written table; Python functions in it see at most `batch` rows at a time."""
         path = f"{self.root}/{name}"
-        with setting(self.spark, CLEANUP, "true"):
-            df.write.options(**options).parquet(path)
+        with setting(self.spark, CLEANUP, "true"), setting(self.spark, BATCH, str(batch)):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

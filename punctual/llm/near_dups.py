@@ -7,12 +7,15 @@ keeps its earliest arrival's run, and a stream ends once its next arrival is lat
 all registers hold, so two texts agree in a register with their probability Jaccard
 similarity. Texts that agree in all registers of a band are candidates.
 
-In each bucket all texts are first compared with its smallest one, and links within 0.8 or
-more (probability Jaccard of the weighted runs, or plain Jaccard of the distinct ones, from
-the whole texts) joined to classes. Then, in buckets whose texts are still in several
-classes, each text outside the largest class is compared with all texts of other classes. So
-every candidate pair is either in one class already or compared, and groups of copies never
-become all pairs. Equal texts are one text from the start.
+A bucket's center is its smallest text. Each text is first compared with the centers that
+most of its buckets have, and links of 0.8 or more join classes; the similarity is the larger
+of the probability Jaccard of the weighted runs and the plain Jaccard of the distinct ones,
+over whole texts. In buckets whose texts are still in several classes, each text outside the
+largest class is compared with some of that class, and at last with all texts of other
+classes. So every candidate pair is either in one class already or compared, and groups of
+copies never become all pairs. Equal texts are one text from the start. Pairs that cannot
+reach 0.8 are never made: runs that no other candidate has count against a text, which bounds
+its similarity to all others.
 
 Defined cases. Null text: the empty text. Texts of one to four words: one run of them all.
 Texts without words: alike only if equal. Ids that are null or occur twice: texts take the
@@ -28,19 +31,30 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import Scratch, text_or_empty
-from punctual.llm.packed_keys import FACTOR, RunningHash
+from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, packs, questions, values_of
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 #: Characters of one text that are hashed at a time, about.
 STRETCH = 1 << 20
+#: Texts or pairs of texts that a Python worker holds at a time.
+BATCH = 256
+#: Centers that a text is compared with at first, those of most of its buckets.
+CENTERS = 8
+#: Texts of a block, and pairs of blocks that a Python worker holds at a time, about.
+BLOCK, BLOCKS = 64, 32
+#: Registers in which texts agree that may be links: four standard deviations below the mean
+#: at 0.8, which misses one link in 30,000 there and fewer above.
+AGREEING = int(REGISTERS * THRESHOLD - 4 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+#: Text bytes per bucket of runs, about.
+BUCKET = 8 << 20
 #: Runs whose arrivals are drawn at a time, about.
-ELEMENTS = 1 << 18
+ELEMENTS = 1 << 16
 
 _GAP = re.compile(r"\W+")
 
@@ -134,14 +148,16 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Band keys of each row; texts without words have none. Copies in a batch are signed once."""
+    """Band keys of each row, and a byte of each register; texts without words have none.
+    Copies in a batch are signed once."""
     for batch in batches:
         # `digest` names a text, so copies within a batch are found without a second look
         digests = batch.column("digest").to_pylist()
         first: dict[bytes, int] = {}
         for i, digest in enumerate(digests):
             first.setdefault(digest, i)
-        keys: dict[bytes, list[int]] = {}
+        keys: dict[bytes, np.ndarray] = {}
+        marks: dict[bytes, bytes] = {}
         names, runs, weights, held = [], [], [], 0
 
         def settle() -> None:
@@ -149,14 +165,14 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if names:
                 row = np.repeat(np.arange(len(names)), [len(r) for r in runs])
                 own = signatures(row, np.concatenate(runs), np.concatenate(weights).astype(np.float64), len(names))
-                for name, k in zip(names, band_keys(own).astype(np.int64), strict=True):
-                    keys[name] = k
+                for name, k, m in zip(names, band_keys(own).astype(np.int64), own.astype(np.uint8), strict=True):
+                    keys[name], marks[name] = k, m.tobytes()
             names, runs, weights, held = [], [], [], 0
 
         for digest, i in first.items():
             run, weight = shingles(batch.column("text")[i].as_py())
             if not len(run):
-                keys[digest] = np.zeros(0, np.int64)
+                keys[digest], marks[digest] = np.zeros(0, np.int64), b""
                 continue
             names.append(digest)
             runs.append(run)
@@ -174,8 +190,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(np.concatenate(own) if own else [], pa.int64())
                 ),
+                pa.array([marks[d] for d in digests], pa.binary()),
             ],
-            names=["doc_id", "digest", "keys"],
+            names=["doc_id", "digest", "keys", "marks"],
         )
 
 
@@ -214,12 +231,75 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (`a`, `b`) whose texts are similar enough, with `similarity`."""
-    named = lambda side: texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
-    joined = pairs.join(named("a"), "a").join(named("b"), "b").sortWithinPartitions("b")
+    one = texts.withColumnRenamed("text", "text_a")
+    other = texts.withColumnRenamed("text", "text_b")
+    joined = pairs.join(one, pairs["a"] == one["node"]).select("a", "b", "text_a")
+    joined = joined.join(other, joined["b"] == other["node"]).sortWithinPartitions("b")
     found = joined.select("a", "b", _similar("text_a", "text_b").alias("similarity"))
     return found.where(F.col("similarity") >= THRESHOLD)
 
 
+def _runs_of(row: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    ends = np.cumsum(np.frombuffer(row["sizes"], np.int64))
+    starts = np.append(0, ends[:-1])
+    return [shingles(row["text"][a:b].decode("utf-8")) for a, b in zip(starts, ends, strict=True)]
+
+
+def _ask_runs(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    own, count = np.unique(np.concatenate([r for r, _ in _runs_of(row)]), return_counts=True)
+    return own, (count > 1).astype(np.uint8)
+
+
+def _in_several(bucket: int, keys: np.ndarray, extra: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    own, at, count = np.unique(keys, return_inverse=True, return_counts=True)
+    return ((count > 1) | (np.bincount(at, extra[:, 0], len(own)) > 0)).astype(np.uint8)[at]
+
+
+def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of each `node` of `texts`: `runs`, its distinct runs; `shared`, those that other texts
+    have too; `spare`, the weight of the others; `plain`, whether no run occurs twice."""
+    raw = texts.select(F.col("node").alias("place"), F.col("text").cast("binary").alias("text"))
+    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET))
+    told = answers(questions(parts, _ask_runs, buckets), _in_several, "uint8", 1)
+
+    def count(part: tuple, rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in rows.to_dict("records"):
+            runs = _runs_of(row)
+            own, at = np.unique(np.concatenate([r for r, _ in runs]), return_inverse=True)
+            often = (values_of(own, values, buckets, "uint8") if len(own) else np.zeros(0, np.uint8))[at] > 0
+            ends = np.cumsum([len(r) for r, _ in runs])
+            for node, (run, weight), end in zip(np.frombuffer(row["ids"], np.int64), runs, ends, strict=True):
+                seen = often[end - len(run) : end]
+                out.append((node, len(run), seen.sum(), weight[~seen].sum() / max(1, weight.sum()), (weight < 2).all()))
+        return pd.DataFrame(out, columns=["node", "runs", "shared", "spare", "plain"])
+
+    counted = parts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(
+        count, "node long, runs long, shared long, spare double, plain boolean"
+    )
+    return scratch.store(counted, "shared")
+
+
+def _may_reach() -> Column:
+    """Whether texts `a` and `b` can be similar enough, by what they share with anyone.
+
+    Plain Jaccard is at most m / (a + b - m) with m the smaller shared count; of texts
+    without repeated runs the probability Jaccard is the same. In general it is at most
+    (1 - u)(1 - v) / (1 - u v) with u and v the weights that are not shared.
+    """
+    most = F.least("a_shared", "b_shared")
+    u, v = F.col("a_spare"), F.col("b_spare")
+    weighted = ~(F.col("a_plain") & F.col("b_plain")) & ((1 - u) * (1 - v) >= (THRESHOLD - 1e-9) * (1 - u * v))
+    return (most >= (THRESHOLD - 1e-9) * (F.col("a_runs") + F.col("b_runs") - most)) | weighted
+
+
+def _side(shared: DataFrame, side: str) -> DataFrame:
+    figures = [F.col(c).alias(f"{side}_{c}") for c in ("runs", "shared", "spare", "plain")]
+    return shared.select(F.col("node").alias(side), *figures)
+
+
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """`node` and `component` (its smallest node) of all nodes of `links` (`a`, `b`).
 
@@ -250,6 +330,82 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `members` whose bucket has texts of several classes, with `component`,
+    `largest` (whether that class is the largest there) and `size` (texts of the bucket)."""
+    placed = members.select("key", "node").join(found, "node", "left")
+    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = placed.groupBy("key", "component").agg(F.count("node").alias("n"))
+    bucket = Window.partitionBy("key")
+    parts = parts.select(
+        "key",
+        "component",
+        (F.row_number().over(bucket.orderBy(F.desc("n"), "component")) == 1).alias("largest"),
+        F.count("component").over(bucket).alias("parts"),
+        F.sum("n").over(bucket).alias("size"),
+    ).where("parts > 1")
+    return placed.join(parts.drop("parts"), ["key", "component"])
+
+
+def likely_pairs(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs (`a`, `b`) of each text outside the largest class of its bucket with some texts
+    of that class."""
+    by_hash = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
+    some = rows.where("largest").withColumn("turn", F.row_number().over(by_hash)).where(F.col("turn") <= CENTERS // 2)
+    one = rows.where("NOT largest").select("key", F.col("node").alias("a")).join(_side(shared, "a"), "a")
+    other = some.select("key", F.col("node").alias("b")).join(_side(shared, "b"), "b")
+    return one.join(other, "key").where(_may_reach()).select("a", "b").distinct()
+
+
+def _cards(rows: pa.StructArray) -> dict[str, np.ndarray]:
+    """Columns of a block of texts."""
+    found = dict(zip([f.name for f in rows.type], rows.flatten(), strict=True))
+    packed = lambda name, kind: np.frombuffer(b"".join(found[name].to_pylist()), kind).reshape(len(rows), -1)
+    plain = {n: c.to_numpy(zero_copy_only=False) for n, c in found.items() if n not in ("keys", "marks")}
+    keys = found["keys"].flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+    return {**plain, "keys": keys, "marks": packed("marks", np.uint8)}
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair of blocks, the pairs of texts that may be similar enough: by what they
+    share with anyone, and by their registers. A pair shows up in its first common bucket."""
+    for batch in batches:
+        out = []
+        for at in range(batch.num_rows):
+            key = batch.column("key")[at].as_py()
+            one, other = (_cards(batch.column(side)[at].values) for side in ("one", "other"))
+            a = {n: c[:, None] for n, c in one.items()}
+            b = {n: c[None, :] for n, c in other.items()}
+            good = (a["component"] != b["component"]) & (b["largest"] | (a["node"] < b["node"]))
+            most = np.minimum(a["shared"], b["shared"])
+            u, v = a["spare"], b["spare"]
+            plain = a["plain"] & b["plain"]
+            limit = THRESHOLD - 1e-9
+            reach = (most >= limit * (a["runs"] + b["runs"] - most)) | (
+                ~plain & ((1 - u) * (1 - v) >= limit * (1 - u * v))
+            )
+            x, y = np.nonzero(good & reach)
+            common = one["keys"][x] == other["keys"][y]
+            first = one["keys"][x, common.argmax(axis=1)] == key
+            agree = (one["marks"][x] == other["marks"][y]).sum(axis=1)
+            kept = first & ((agree >= AGREEING) | ~plain[x, y])
+            out.append(np.stack([one["node"][x[kept]], other["node"][y[kept]]], axis=1))
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs.T], names=["a", "b"])
+
+
+def remaining_pairs(rows: DataFrame, shared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (`a`, `b`) of each text outside the largest class of its bucket with the texts of
+    other classes there. Blocks of texts meet; only pairs that may be links leave the task."""
+    cards = rows.join(shared, "node").join(nodes.select("node", "keys", "marks"), "node")
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).alias("block")
+    card = F.struct("node", "component", "largest", "runs", "shared", "spare", "plain", "keys", "marks")
+    blocks = lambda some, side: some.groupBy("key", block).agg(F.collect_list(card).alias(side))
+    one, other = blocks(cards.where("NOT largest"), "one"), blocks(cards, "other")
+    met = one.drop("block").join(other.drop("block"), "key")
+    return met.mapInArrow(_compared, "a long, b long")
+
+
 def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document: `doc_id`, `digest` of its text, `class_id`, and `first`: whether
     its text stands for the class."""
@@ -258,21 +414,19 @@ def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         F.unhex(F.md5(text_or_empty())).alias("digest"),
         text_or_empty().alias("text"),
     )
-    signed = scratch.store(texts.mapInArrow(_signed, "doc_id long, digest binary, keys array<long>"), "signed")
+    signed = scratch.store(texts.mapInArrow(_signed, "doc_id long, digest binary, keys array<long>, marks binary"), "signed", BATCH)
     plain = signed.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
     node = F.min("doc_id") if plain else F.xxhash64("digest")
     nodes = signed.groupBy("digest").agg(
-        node.alias("node"), F.min("doc_id").alias("least"), F.first("keys").alias("keys")
+        node.alias("node"),
+        F.min("doc_id").alias("least"),
+        F.first("keys").alias("keys"),
+        F.first("marks").alias("marks"),
     )
     nodes = scratch.store(nodes, "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("node").alias("n")).where("n > 1")
     members = scratch.store(keyed.join(buckets, "key").select("key", "node", "center"), "members")
-
-    first_pairs = scratch.store(
-        members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct(),
-        "pairs-1",
-    )
     wanted = members.select("node").distinct()
     if plain:
         needed = texts.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi").select("node", "text")
@@ -280,35 +434,33 @@ def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         needed = texts.withColumn("node", F.xxhash64("digest")).join(wanted, "node", "left_semi")
         needed = needed.groupBy("node").agg(F.first("text").alias("text"))
     needed = scratch.store(needed, "texts")
-    links = scratch.store(verified(first_pairs, needed), "links-1")
+    shared = shared_runs(needed, scratch)
+    by_buckets = Window.partitionBy("node").orderBy(F.desc("count"), "center")
+    first_pairs = (
+        members.where("node <> center")
+        .groupBy("node", "center")
+        .count()
+        .withColumn("turn", F.row_number().over(by_buckets))
+        .where(F.col("turn") <= CENTERS)
+        .select(F.col("node").alias("a"), F.col("center").alias("b"))
+    )
+    first_pairs = first_pairs.join(_side(shared, "a"), "a").join(_side(shared, "b"), "b").where(_may_reach())
+    first_pairs = scratch.store(first_pairs.select("a", "b"), "pairs-1")
+    links = scratch.store(verified(first_pairs, needed), "links-1", BATCH)
     found = components(links, scratch, "first")
 
-    # texts of one bucket that are not in one class yet
-    placed = members.select("key", "node").join(found, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    parts = placed.groupBy("key", "component").agg(F.count("node").alias("n"))
-    by_size = Window.partitionBy("key").orderBy(F.desc("n"), "component")
-    parts = parts.select(
-        "key",
-        "component",
-        (F.row_number().over(by_size) == 1).alias("largest"),
-        F.count("component").over(Window.partitionBy("key")).alias("parts"),
-    ).where("parts > 1")
-    open_ones = scratch.store(placed.join(parts.drop("parts"), ["key", "component"]), "open")
-    one = open_ones.where("NOT largest").select("key", F.col("node").alias("a"), F.col("component").alias("a_part"))
-    other = open_ones.select("key", F.col("node").alias("b"), F.col("component").alias("b_part"), "largest")
-    rest = (
-        one.join(other, "key")
-        .where("a_part <> b_part AND (largest OR a < b)")
-        .select("a", "b")
-        .distinct()
-        .join(first_pairs, ["a", "b"], "left_anti")
-    )
-    rest = rest.join(first_pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    more = scratch.store(verified(scratch.store(rest, "pairs-2"), needed), "links-2")
-    if not more.isEmpty():
-        links = scratch.store(links.unionByName(more), "links-all")
-        found = components(links, scratch, "second")
+    done = first_pairs
+    for name in ("likely", "remaining"):
+        rows = scratch.store(open_rows(members, found), f"open-{name}")
+        pairs = likely_pairs(rows, shared) if name == "likely" else remaining_pairs(rows, shared, nodes)
+        either = done.union(done.select("b", "a"))
+        pairs = pairs.join(either, ["a", "b"], "left_anti")
+        pairs = scratch.store(pairs, f"pairs-{name}", BLOCKS)
+        more = scratch.store(verified(pairs, needed), f"links-{name}", BATCH)
+        done = done.unionByName(pairs)
+        if not more.isEmpty():
+            links = scratch.store(links.unionByName(more), f"links-until-{name}")
+            found = components(links, scratch, name)
 
     of_node = nodes.join(found, "node", "left").select(
         "digest", "least", F.coalesce("component", "node").alias("component")

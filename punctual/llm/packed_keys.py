@@ -13,8 +13,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+PARTS = "part long, ids binary, sizes binary, text binary"
+#: Text bytes that a part holds, about.
+PART = 4 << 20
 QUESTION = "bucket long, part long, keys binary, extra binary"
 ANSWER = "part long, bucket long, values binary"
 
@@ -53,6 +57,31 @@ class RunningHash:
         return mix((self.sums[length:] - self.sums[:-length]) * self.down[: len(self.sums) - length])
 
 
+def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `place` and `text` (bytes) in parts of about `PART` bytes."""
+    first, number = TaskContext.get().partitionId() << 32, 0
+    ids, texts, held = [], [], 0
+
+    def part() -> pa.RecordBatch:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        values = [[first + number], [np.array(ids, np.int64).tobytes()], [sizes.tobytes()], [b"".join(texts)]]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "ids", "sizes", "text"]
+        )
+
+    for batch in batches:
+        for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if ids and held + len(text) > PART:
+                yield part()
+                number, ids, texts, held = number + 1, [], [], 0
+            ids.append(place)
+            texts.append(text)
+            held += len(text)
+    if ids:
+        yield part()
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 

@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import text_or_empty
+from punctual.llm.common import Scratch, text_or_empty
 
 TIERS = (256, 512, 1024, 2048)
 END, GROUP, STEP = 1, 8_000, 64
+#: Texts that a Python worker is given at a time.
+TEXTS = 512
 #: How the vocabulary splits text before it merges; a fixed value.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -124,11 +126,14 @@ def _pack_group(key: tuple, pieces: pd.DataFrame, tiers: tuple[int, ...]) -> pd.
     return out.assign(sequence_id=first + sequence, offset=offset, tier=tier, step=first + steps(sequence, lengths, tier))
 
 
-def packed(documents: DataFrame, ranks_path: str, tiers: tuple[int, ...] = TIERS) -> DataFrame:
+def packed(
+    documents: DataFrame, scratch: Scratch, ranks_path: str, tiers: tuple[int, ...] = TIERS
+) -> DataFrame:
     """The pieces of all documents: `start` and `length` in ids of the document, checksum,
     `sequence_id`, `offset` there, `tier` (its context size) and `step`."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     pieces = texts.mapInArrow(lambda batches: _pieces(batches, ranks_path, tiers[-1]), PIECE)
+    pieces = scratch.store(pieces, "pieces", TEXTS)
     groups = max(1, -(-documents.count() // GROUP))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(groups)))
 

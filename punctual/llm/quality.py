@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import text_or_empty
+from punctual.llm.common import BATCH, setting, text_or_empty
 
 BUCKETS, FACTORS, SAMPLE, EPOCHS = 1 << 13, 8, 8_000, 6
 FOLDS, THRESHOLD = 5, 0.3
+#: Texts that a Python worker is given at a time.
+TEXTS = 512
 FEATURE_TYPE = "index array<int>, value array<float>"
 
 #: Bytes by kind: capitals, digits, blanks, line ends, sentence marks, other ASCII marks.
@@ -185,12 +187,13 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     texts = documents.select("doc_id", text_or_empty().alias("text"))
     # at most `sample` ids and labels
     labelled = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
-    rows = labelled.mapInArrow(_sample_features, f"label int, {FEATURE_TYPE}").toArrow()
-    index, value = rows.column("index").to_pylist(), rows.column("value").to_pylist()
-    examples = sorted(
-        ((np.array(i), np.array(v, dtype=np.float32), label) for i, v, label in zip(index, value, rows.column("label").to_pylist(), strict=True)),
-        key=lambda e: (e[2], len(e[0]), e[0].tobytes()),
-    )[:sample]
+    with setting(documents.sparkSession, BATCH, str(TEXTS)):
+        rows = labelled.mapInArrow(_sample_features, f"label int, {FEATURE_TYPE}").toArrow()
+    flat = lambda name: rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(rows.column("index").combine_chunks().value_lengths().to_numpy(zero_copy_only=False))[:-1]
+    found = zip(np.split(flat("index"), ends), np.split(flat("value"), ends), rows.column("label").to_pylist(), strict=True)
+    # rows come in any order; repeated documents count up to the bound
+    examples = sorted(found, key=lambda e: (e[2], len(e[0]), e[0].tobytes()))[:sample] if rows.num_rows else []
     return fit([e[:2] for e in examples], np.array([e[2] for e in examples], dtype=np.float64))
 
 

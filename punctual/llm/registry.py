@@ -51,7 +51,8 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return rows.select("doc_id", "held_out", "score", "predicted")
+    rows = rows.select("doc_id", "held_out", "score", "predicted")
+    return Scratch(spark, "quality").store(rows, "scored", quality.TEXTS)
 
 
 def op4_block_search(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,11 +63,14 @@ def op4_block_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dups.classes(table(spark, folder, "documents"), Scratch(spark, "near"))
-    return found.select("doc_id", "class_id", "first")
+    # the document that stands for its class
+    kept = F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    return found.select("doc_id", "class_id", kept.alias("kept"))
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+    scratch = Scratch(spark, "packing")
+    return packing.packed(table(spark, folder, "documents"), scratch, public_tokenizers.path(VOCABULARY))
 
 
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:

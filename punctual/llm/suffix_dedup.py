@@ -40,47 +40,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.llm.common import Scratch, text_or_empty
-from punctual.llm.packed_keys import FACTOR, RunningHash, answers, mix, questions, values_of
+from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, mix, packs, questions, values_of
 
 LENGTH, GRAM = 100, 50
 #: The first triples are of strings of 9 bytes; each turn makes names three times as long.
 FIRST, NAMED = 27, 81
-#: Text bytes that a part holds, and that are hashed at a time, about; text per bucket.
-PART, STRETCH, BUCKET = 4 << 20, 1 << 17, 8 << 20
+#: Text bytes that are hashed at a time, about; text bytes per bucket of keys.
+STRETCH, BUCKET = 1 << 17, 8 << 20
 SEGMENT_PART = 1 << 20
+#: Texts, and parts, that a Python worker is given at a time.
+TEXTS, FEW = 512, 4
 
-PARTS = "part long, ids binary, sizes binary, text binary"
 FOUND = "place long, spans binary, starts binary, sizes binary, text binary"
 SEGMENTS = "part long, ids binary, starts binary, sizes binary, text binary"
 EMPTY, SETTLED, OPEN = 0, 1, 2
 PLACE = "its place"
 
 
-def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in parts of about `PART` bytes."""
-    first, number = TaskContext.get().partitionId() << 32, 0
-    ids, texts, held = [], [], 0
-
-    def part() -> pa.RecordBatch:
-        sizes = np.array([len(t) for t in texts], np.int64)
-        values = [[first + number], [np.array(ids, np.int64).tobytes()], [sizes.tobytes()], [b"".join(texts)]]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "ids", "sizes", "text"]
-        )
-
-    for batch in batches:
-        for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            if ids and held + len(text) > PART:
-                yield part()
-                number, ids, texts, held = number + 1, [], [], 0
-            ids.append(place)
-            texts.append(text)
-            held += len(text)
-    if ids:
-        yield part()
-
-
 class Anchors:
     """Anchors of the texts of one part: `at`, first and last window, text number, and keys."""
 
@@ -393,7 +369,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET))
     raw = texts.select("place", F.col("text").cast("binary").alias("text"))
-    parts = scratch.store(raw.mapInArrow(_packs, PARTS), "parts")
+    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts", TEXTS)
 
     told = answers(questions(parts, _ask_anchors, buckets), _judge_anchors, "uint64", 2)
 
@@ -403,17 +379,17 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
         return _settle(rows.iloc[0].to_dict(), values, buckets)
 
     found = parts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(settle, FOUND)
-    found = scratch.store(found, "found")
+    found = scratch.store(found, "found", FEW)
     scratch.drop("parts")
 
     left = found.where("octet_length(text) > 0").select("place", "starts", "sizes", "text")
     left = left.repartitionByRange("place").sortWithinPartitions("place")
-    segments = scratch.store(left.mapInArrow(_segments, SEGMENTS), "segments")
+    segments = scratch.store(left.mapInArrow(_segments, SEGMENTS), "segments", TEXTS)
     size = segments.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // SEGMENT_PART))
     length = FIRST
     while length <= NAMED:
-        segments = scratch.store(named(segments, length, buckets), f"names-{length}")
+        segments = scratch.store(named(segments, length, buckets), f"names-{length}", FEW)
         scratch.drop("segments", f"names-{length // 3}")
         length *= 3
 
@@ -425,7 +401,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
         return _repeated(rows.iloc[0].to_dict(), values, buckets)
 
     more = segments.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(close, "place long, spans binary")
-    return scratch.store(more.unionByName(found.select("place", "spans").where("octet_length(spans) > 0")), "spans")
+    return scratch.store(more.unionByName(found.select("place", "spans").where("octet_length(spans) > 0")), "spans", FEW)
 
 
 def merged(spans: list[bytes] | None) -> np.ndarray:
@@ -470,9 +446,10 @@ def cut_bytes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         text_or_empty().cast("binary").alias("text"),
         F.col("its spans").alias("spans"),
     )
-    return rows.mapInArrow(
+    digests = rows.mapInArrow(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
+    return scratch.store(digests, "digests", TEXTS)
 
 
 @F.pandas_udf("string")
@@ -500,9 +477,10 @@ def without_repeats(documents: DataFrame, scratch: Scratch) -> DataFrame:
     )
     rows = rows.where("`its spans` IS NULL OR `its rest` <> ''")
     columns = {"text": F.col("its rest"), "n_chars": F.length("its rest").cast("long")}
-    return rows.select(
+    rest = rows.select(
         *[
             F.when(F.col("its spans").isNull(), F.col(c)).otherwise(columns[c]).alias(c) if c in columns else F.col(c)
             for c in documents.columns
         ]
     )
+    return scratch.store(rest, "rest", TEXTS)
