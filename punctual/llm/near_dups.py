@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.llm.common import Scratch, text_or_empty
 from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, packs, questions, values_of
@@ -218,7 +219,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(max(plain, shares.sum()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of text pairs; rows that follow each other often share the second text."""
     known, runs, out = None, None, []
@@ -314,7 +315,8 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     turn = 0
     while True:
         turn += 1
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
+        seen = labels.select(F.col("node").alias("neighbour"), "label")
+        near = both.join(seen, both["b"] == seen["neighbour"]).groupBy("a").agg(F.min("label").alias("near"))
         nearest = labels.join(near, labels.node == near.a).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
@@ -330,6 +332,22 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def joined(found: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """`found` (`node`, `component`) after more `links`: only components are linked anew."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(found, "node", "left")
+    ends = scratch.store(ends.select("node", F.coalesce("component", "node").alias("component")), f"{name}-ends")
+    a_end = ends.select(F.col("node").alias("a"), F.col("component").alias("a_part"))
+    b_end = ends.select(F.col("node").alias("b"), F.col("component").alias("b_part"))
+    between = links.join(a_end, "a").join(b_end, "b").where("a_part <> b_part")
+    between = between.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct()
+    merged = components(between, scratch, name).select(
+        F.col("node").alias("component"), F.col("component").alias("merged")
+    )
+    everyone = found.unionByName(ends.join(found, "node", "left_anti"))
+    told = everyone.join(merged, "component", "left")
+    return scratch.store(told.select("node", F.coalesce("merged", "component").alias("component")), f"{name}-found")
+
+
 def open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of `members` whose bucket has texts of several classes, with `component`,
     `largest` (whether that class is the largest there) and `size` (texts of the bucket)."""
@@ -409,6 +427,13 @@ def remaining_pairs(rows: DataFrame, shared: DataFrame, nodes: DataFrame) -> Dat
 def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document: `doc_id`, `digest` of its text, `class_id`, and `first`: whether
     its text stands for the class."""
+    work = Scratch(scratch.spark, "near-work")
+    result = scratch.store(_classes(documents, work), "classes")
+    work.drop("")
+    return result
+
+
+def _classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
     texts = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.md5(text_or_empty())).alias("digest"),
@@ -459,8 +484,7 @@ def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         more = scratch.store(verified(pairs, needed), f"links-{name}", BATCH)
         done = done.unionByName(pairs)
         if not more.isEmpty():
-            links = scratch.store(links.unionByName(more), f"links-until-{name}")
-            found = components(links, scratch, name)
+            found = joined(found, more, scratch, name)
 
     of_node = nodes.join(found, "node", "left").select(
         "digest", "least", F.coalesce("component", "node").alias("component")
@@ -474,7 +498,7 @@ def classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
 
 def deduplicated(documents: DataFrame, scratch: Scratch) -> DataFrame:
     """`documents` with one row of each class: that of the smallest id."""
-    result = scratch.store(classes(documents, scratch), "classes")
+    result = classes(documents, scratch)
     plain = result.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty()
     kept = result.where(F.col("first") & F.col("doc_id").eqNullSafe(F.col("class_id")))
     if plain:

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from punctual.llm.common import BATCH, setting, text_or_empty
 
-BUCKETS, FACTORS, SAMPLE, EPOCHS = 1 << 13, 8, 8_000, 6
+BUCKETS, FACTORS, SAMPLE, EPOCHS = 1 << 13, 8, 8_000, 8
+#: Examples of a step; a small sample is seen more often, for so many steps in all.
+STEP, STEPS = 128, 400
 FOLDS, THRESHOLD = 5, 0.3
 #: Texts that a Python worker is given at a time.
 TEXTS = 512
@@ -140,10 +142,10 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epoch
     share = np.clip(labels.mean(), 0.02, 0.98)
     model.bias = float(np.log(share / (1 - share)))
     steps = [Adam((), 0.05), Adam(model.linear.shape, 0.05), Adam(model.factors.shape, 0.02)]
-    size, batch = len(model.linear), 128
-    for _ in range(epochs):
+    size = len(model.linear)
+    for _ in range(max(epochs, -(-STEPS * STEP // len(examples)))):
         order = random.permutation(len(examples))
-        for chosen in np.array_split(order, max(1, len(order) // batch)):
+        for chosen in np.array_split(order, max(1, len(order) // STEP)):
             index = np.concatenate([examples[i][0] for i in chosen]).astype(np.int64)
             value = np.concatenate([examples[i][1] for i in chosen]).astype(np.float32)
             rows = np.repeat(np.arange(len(chosen)), [len(examples[i][0]) for i in chosen])

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.llm.common import Scratch, text_or_empty
 from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, mix, packs, questions, values_of
@@ -452,7 +453,7 @@ def cut_bytes(documents: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.store(digests, "digests", TEXTS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _kept_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
     """Texts without their spans; a character that a span cuts goes as a whole."""
     out = []
