@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # sets of days are small: keep many groups in memory before falling back to sorting
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     # building a column otherwise inspects the Python stack each time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",

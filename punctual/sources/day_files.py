@@ -45,12 +45,13 @@ def read_trains(spark: SparkSession, root: str, since: dt.date | None = None) ->
     Both filters use the file name only, so Spark drops the other files when it lists
     them: they are never opened, and an old unreadable file cannot fail a load.
     Malformed input raises. With `since`, no matching file gives an empty result;
-    without it, that raises.
+    without it, that raises, also where only unfinished files are.
     """
     pattern = f"{root}/{DAY_FILES}"
+    found = files.list_files(spark, pattern)
+    if since is None and found.where(F.col("name").rlike(DAY_PATTERN)).isEmpty():
+        raise NoInputError(f"no finished day files below {root}")
     if not files.exists(spark, pattern):
-        if since is None:
-            raise NoInputError(f"no day files below {root}")
         return spark.createDataFrame([], schemas.TRAIN).withColumn(SOURCE_PATH, F.lit(None).cast("string"))
     raw = spark.read.schema(schemas.TRAIN).option("multiLine", True).option("mode", "FAILFAST").json(pattern)
     name = F.col("_metadata.file_name")

@@ -52,9 +52,10 @@ def list_day_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def redundant_files(day_files: DataFrame) -> DataFrame:
-    """Plain files of days that also have a gzipped one; the gzipped one counts."""
-    first = Window.partitionBy("day").orderBy(F.desc("is_gzip"), "path")
-    return day_files.withColumn("_rank", F.row_number().over(first)).where("_rank > 1").drop("_rank")
+    """Plain files beside a gzipped one of the same day and folder; the gzipped one counts."""
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    zipped = F.max("is_gzip").over(Window.partitionBy(folder, "day"))
+    return day_files.withColumn("_zipped", zipped).where("_zipped AND NOT is_gzip").drop("_zipped")
 
 
 def expired_files(day_files: DataFrame, cutoff: dt.date) -> DataFrame:

@@ -79,127 +79,6 @@ def single_type_fact(spark: SparkSession, folder: str) -> DataFrame:
 # shape L
 
 
-def lineitem_rows(
-    spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
-) -> DataFrame:
-    """Shape L. Type and category each cost a join, so they are added on request."""
-    orders = table(spark, folder, "orders").where("o_orderstatus <> 'P'")
-    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    extra = []
-    if train_type:
-        lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        extra.append("p_type AS trainType")
-    if category:
-        lines = lines.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        extra.append("c_mktsegment AS trainCategory")
-    return lines.selectExpr(
-        "l_orderkey AS trainNumber",
-        "cast(o_orderdate AS date) AS departureDate",
-        "cast(l_suppkey AS string) AS stationShortCode",
-        "if(l_linestatus = 'F', 'ARRIVAL', 'DEPARTURE') AS event_type",
-        "l_returnflag <> 'A' AS commercial_stop",
-        "o_orderdate + make_dt_interval(0, l_linenumber) AS scheduled_time",
-        "l_shipdate AS actual_time",
-        "cast(datediff(l_shipdate, o_orderdate) % 60 AS bigint) AS delay_minutes",
-        *extra,
-    )
-
-
-def lineitem_fact(
-    spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
-) -> DataFrame:
-    return with_event_attributes(lineitem_rows(spark, folder, train_type, category))
-
-
-def supplier_stations(spark: SparkSession, folder: str) -> DataFrame:
-    """The station dimension of shape L."""
-    suppliers, nations = table(spark, folder, "supplier"), table(spark, folder, "nation")
-    located = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return located.selectExpr(
-        "cast(s_suppkey AS string) AS stationShortCode",
-        "s_name AS stationName",
-        "s_suppkey AS stationUICCode",
-        "60 + n_nationkey / 10 AS latitude",
-        "20 + n_nationkey / 10 AS longitude",
-        "s_acctbal > 0 AS passengerTraffic",
-        "element_at(array('STATION', 'STOPPING_POINT', 'TURNOUT_IN_THE_OPEN_LINE'), cast(s_suppkey % 3 AS int) + 1)"
-        " AS type",
-        "element_at(array('Major Station', 'Stopping Point', 'Turnout'), cast(s_suppkey % 3 AS int) + 1)"
-        " AS station_type_label",
-        "if(s_acctbal > 0, 'Passenger Service', 'No Passenger Service') AS passenger_service_label",
-        "r_name AS region",
-    )
-
-
-# shape N: no nested array is longer
-TRAIN_NUMBERS = 1_000_000_007  # keeps shape N's train number inside an int
-
-# Pinned, so that opening a table costs no pass over its files.
-SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
-    "l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-}
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
-
-
-# shape E
-
-STATION = "get_json_object(props, '$.k')"
-KIND = "if(event_id % 2 = 0, 'ARRIVAL', 'DEPARTURE')"
-DELAY = "if(event_id % 97 <> 0, floor(value) - 3, NULL)"
-ACTUAL_TIME = """
-    CASE WHEN event_id % 89 = 0 THEN NULL
-         WHEN event_id % 53 = 0 THEN cast(cast(ts AS date) AS timestamp_ntz)
-         ELSE ts + make_dt_interval(0, 0, cast(least(60, floor(value)) - 3 AS int)) END"""
-TYPE = "CASE event_type WHEN 'click' THEN 'IC' WHEN 'view' THEN 'HDM' WHEN 'purchase' THEN 'S' WHEN 'signup' THEN 'HL' END"
-CATEGORY = """
-    CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'Long-distance'
-         WHEN event_type = 'signup' THEN 'Commuter' ELSE 'Cargo' END"""
-
-
-def event_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Shape E before the derived attributes, with the event's own id kept."""
-    return table(spark, folder, "events").selectExpr(
-        "event_id",
-        "user_id * 10 + length(event_type) AS trainNumber",
-        "cast(ts AS date) AS departureDate",
-        f"{TYPE} AS trainType",
-        f"{CATEGORY} AS trainCategory",
-        f"{STATION} AS stationShortCode",
-        f"{KIND} AS event_type",
-        "event_id % 7 <> 0 AS commercial_stop",
-        "ts AS scheduled_time",
-        f"{ACTUAL_TIME} AS actual_time",
-        f"{DELAY} AS delay_minutes",
-    )
-
-
-def event_fact(spark: SparkSession, folder: str) -> DataFrame:
-    return with_event_attributes(event_rows(spark, folder))
-
-
-def single_type_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """Shape E without the trains that have two types: what date ranges on spans need."""
-    return event_fact(spark, folder).where("trainType IS NOT NULL")
-
-
-# shape L
-
-
 def lineitem_rows(
     spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
 ) -> DataFrame:

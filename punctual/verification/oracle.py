@@ -642,7 +642,7 @@ ORACLE: dict[str, str] = {
     "missing_days": """
       SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS "departureDate"
       FROM generate_series(DATE '1991-12-01', DATE '1999-12-31', INTERVAL 1 DAY) AS g(d)
-      WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 3 = 0)""",
+      WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
     "dq_report": _data_tests(),
     "dq_references": f"""WITH {EVENT_ROWS}, {DIM}, f AS (
         SELECT COUNT(*) AS failures FROM rows_e WHERE "stationShortCode" IS NOT NULL

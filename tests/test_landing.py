@@ -223,3 +223,17 @@ def test_compress_plain_days(spark, untidy):
     assert landing.compress_plain_days(spark, root).head().files == 0
     landing.tidy(spark, root, next_day(-30))
     assert len(day_files.read_trains(spark, root).collect()) == 2
+
+
+def test_a_full_load_of_unfinished_files_raises(spark, staging):
+    staging.path(DAY, ".json.tmp").write_text("[]", encoding="utf-8")
+    with pytest.raises(day_files.NoInputError):
+        day_files.read_trains(spark, str(staging.root))
+
+
+def test_plain_files_of_two_folders_are_no_twins(spark):
+    rows = [(f"/s/{m}/2024-01-05.json", DAY, False) for m in ("01", "02")]
+    listed = spark.createDataFrame(rows, "path string, day date, is_gzip boolean")
+    assert landing.redundant_files(listed).count() == 0
+    zipped = listed.unionByName(spark.createDataFrame([("/s/02/2024-01-05.json.gz", DAY, True)], listed.schema))
+    assert [r.path for r in landing.redundant_files(zipped).collect()] == ["/s/02/2024-01-05.json"]
