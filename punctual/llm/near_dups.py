@@ -43,8 +43,9 @@ BANDS, ROWS = 30, 6
 REGISTERS = BANDS * ROWS
 #: Characters of one text that are hashed at a time, about.
 STRETCH = 1 << 20
-#: Texts or pairs of texts that a Python worker holds at a time.
-BATCH = 256
+#: Texts that a Python worker holds at a time; pairs of texts, which may be copies of a long one;
+#: parts of about four million bytes.
+BATCH, PAIRS, FEW = 256, 64, 4
 #: Centers that a text is compared with at first, those of most of its buckets.
 CENTERS = 8
 #: Texts of a block, and pairs of blocks that a Python worker holds at a time, about.
@@ -260,7 +261,7 @@ def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Of each `node` of `texts`: `runs`, its distinct runs; `shared`, those that other texts
     have too; `spare`, the weight of the others; `plain`, whether no run occurs twice."""
     raw = texts.select(F.col("node").alias("place"), F.col("text").cast("binary").alias("text"))
-    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts")
+    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts", BATCH)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET))
     told = answers(questions(parts, _ask_runs, buckets), _in_several, "uint8", 1)
@@ -280,7 +281,7 @@ def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
     counted = parts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(
         count, "node long, runs long, shared long, spare double, plain boolean"
     )
-    return scratch.store(counted, "shared")
+    return scratch.store(counted, "shared", FEW)
 
 
 def _may_reach() -> Column:
@@ -471,7 +472,7 @@ def _classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
     )
     first_pairs = first_pairs.join(_side(shared, "a"), "a").join(_side(shared, "b"), "b").where(_may_reach())
     first_pairs = scratch.store(first_pairs.select("a", "b"), "pairs-1")
-    links = scratch.store(verified(first_pairs, needed), "links-1", BATCH)
+    links = scratch.store(verified(first_pairs, needed), "links-1", PAIRS)
     found = components(links, scratch, "first")
 
     done = first_pairs
@@ -481,7 +482,7 @@ def _classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         either = done.union(done.select("b", "a"))
         pairs = pairs.join(either, ["a", "b"], "left_anti")
         pairs = scratch.store(pairs, f"pairs-{name}", BLOCKS)
-        more = scratch.store(verified(pairs, needed), f"links-{name}", BATCH)
+        more = scratch.store(verified(pairs, needed), f"links-{name}", PAIRS)
         done = done.unionByName(pairs)
         if not more.isEmpty():
             found = joined(found, more, scratch, name)
