@@ -56,20 +56,28 @@ def load_bronze_trains(warehouse: Warehouse, raw: DataFrame, run_id: str, full:
 
 
 def record_load(warehouse: Warehouse, run_id: str, since: dt.date | None, today: dt.date) -> None:
-    """Append what a load brought to the list of loads."""
+    """Append what a load brought to the list of loads; only the loaded days are read."""
     loaded = warehouse.read_days(BRONZE, TRAINS).where(F.col("_run_id") == run_id)
+    if since is not None:
+        loaded = loaded.where(F.col("departureDate") >= F.lit(since))
     summary = landing.load_summary(loaded, since, today)
     warehouse.append(summary.withColumn("run_id", F.lit(run_id)), BRONZE, LOADS)
 
 
 def build_silver(warehouse: Warehouse, since: dt.date | None = None) -> None:
     """Rebuild the fact, or only its days from `since` on: a fact day depends on the
-    bronze day of the same date and on nothing else."""
+    bronze day of the same date and on nothing else. A day of that window without events
+    any more, say because its trains were cancelled, goes."""
     trains = warehouse.read_days(BRONZE, TRAINS)
     if since is None:
         warehouse.overwrite_days(_fact(trains), SILVER, FACT)
     else:
-        warehouse.replace_days(_fact(trains.where(F.col("departureDate") >= F.lit(since))), SILVER, FACT)
+        fact = _fact(trains.where(F.col("departureDate") >= F.lit(since)))
+        warehouse.replace_days(fact, SILVER, FACT)
+        # at most the days of the window
+        left = {row[0] for row in fact.select("departureDate").distinct().collect()}
+        gone = [d for d in warehouse.days(SILVER, FACT) if d >= since and d not in left]
+        warehouse.drop_days(gone, SILVER, FACT)
     warehouse.overwrite(silver.dim_stations(warehouse.read(BRONZE, BRONZE_STATIONS)), SILVER, STATIONS)
 
 

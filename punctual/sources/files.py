@@ -5,6 +5,7 @@ Only names and sizes are handled here, never contents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +49,23 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> None:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished file in place; readers see the old state or the new one."""
+    """Put a finished file or folder in place of `target`. What stood there goes only once
+    the new one stands; if that fails it is put back."""
     from_path, fs = _hadoop(spark, source)
     to_path, _ = _hadoop(spark, target)
-    fs.delete(to_path, False)
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    # hidden from readers
+    old_path, _ = _hadoop(spark, f"{parent}/_old-{uuid.uuid4().hex}-{name}")
+    fs.mkdirs(to_path.getParent())
+    held = fs.exists(to_path)
+    if held and not fs.rename(to_path, old_path):
+        raise OSError(f"could not move {target} aside")
     if not fs.rename(from_path, to_path):
+        if held:
+            fs.rename(old_path, to_path)
         raise OSError(f"could not rename {source} to {target}")
+    if held:
+        fs.delete(old_path, True)
 
 
 def move_into(spark: SparkSession, paths: Iterable[str], folder: str) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +36,22 @@ class Warehouse:
         return self.spark.read.option("mergeSchema", True).parquet(self.path(layer, name))
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
-        """Replace the table."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(layer, name))
+        """Replace the table; the old one stands until the new one is written whole."""
+        self._swap(df.write, layer, name)
 
     def overwrite_days(self, df: DataFrame, layer: str, name: str) -> None:
-        """Replace a day-partitioned table."""
-        self._by_day(df).option("partitionOverwriteMode", "static").parquet(self.path(layer, name))
+        """Replace a day-partitioned table, in the same way."""
+        self._swap(self._by_day(df), layer, name)
+
+    def _swap(self, writer, layer: str, name: str) -> None:
+        staged = f"{self.root}/_staged/{layer}-{name}-{uuid.uuid4().hex}"
+        try:
+            writer.parquet(staged)
+            files.rename(self.spark, staged, self.path(layer, name))
+        finally:
+            files.delete(self.spark, [staged])
+        # other frames of this session may have listed the old files
+        self.spark.catalog.refreshByPath(self.path(layer, name))
 
     def replace_days(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace exactly the days that `df` holds; other days stay. Loading the same
@@ -63,5 +75,8 @@ class Warehouse:
     def drop_days_before(self, cutoff: dt.date, layer: str, name: str) -> list[dt.date]:
         """Retention: remove the folders of days before `cutoff`."""
         old = [d for d in self.days(layer, name) if d < cutoff]
-        files.delete(self.spark, [f"{self.path(layer, name)}/{DAY}={d.isoformat()}" for d in old])
+        self.drop_days(old, layer, name)
         return old
+
+    def drop_days(self, days: Iterable[dt.date], layer: str, name: str) -> None:
+        files.delete(self.spark, [f"{self.path(layer, name)}/{DAY}={d.isoformat()}" for d in days])
