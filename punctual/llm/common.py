@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,26 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers outlive their task; without this
+    each keeps its largest batch."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(batches: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function on batches which gives memory back when it is through."""
+
+    @functools.wraps(batches)
+    def through(given: Iterator) -> Iterator:
+        yield from batches(given)
+        give_back()
+
+    return through
+
+
 class Scratch:
     """Tables of one operator below the shared folder of `spark.checkpoint.dir`.
 

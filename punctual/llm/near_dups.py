@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.llm.common import Scratch, text_or_empty
+from punctual.llm.common import Scratch, give_back, giving_back, text_or_empty
 from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, packs, questions, values_of
 
 WORDS, THRESHOLD = 5, 0.8
@@ -149,6 +149,7 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return keys
 
 
+@giving_back
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Band keys of each row, and a byte of each register; texts without words have none.
     Copies in a batch are signed once."""
@@ -228,6 +229,7 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
         if y != known:
             known, runs = y, shingles(y)
         out.append(similarity(shingles(x), runs))
+    give_back()
     return pd.Series(out, dtype="float64")
 
 
@@ -268,6 +270,7 @@ def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
 
     def count(part: tuple, rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
         out = []
+        give_back()  # what the group before left
         for row in rows.to_dict("records"):
             runs = _runs_of(row)
             own, at = np.unique(np.concatenate([r for r, _ in runs]), return_inverse=True)
@@ -385,6 +388,7 @@ def _cards(rows: pa.StructArray) -> dict[str, np.ndarray]:
     return {**plain, "keys": keys, "marks": packed("marks", np.uint8)}
 
 
+@giving_back
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each pair of blocks, the pairs of texts that may be similar enough: by what they
     share with anyone, and by their registers. A pair shows up in its first common bucket."""

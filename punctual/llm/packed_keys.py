@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from punctual.llm.common import give_back, giving_back
+
 PARTS = "part long, ids binary, sizes binary, text binary"
 #: Text bytes that a part holds, about.
 PART = 4 << 20
@@ -57,6 +59,7 @@ class RunningHash:
         return mix((self.sums[length:] - self.sums[:-length]) * self.down[: len(self.sums) - length])
 
 
+@giving_back
 def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of `place` and `text` (bytes) in parts of about `PART` bytes."""
     first, number = TaskContext.get().partitionId() << 32, 0
@@ -95,6 +98,7 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def questions(parts: DataFrame, ask: Ask, buckets: int) -> DataFrame:
+    @giving_back
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
@@ -126,6 +130,8 @@ def answers(asked: DataFrame, answer: Answer, kind: str, width: int) -> DataFram
         sizes = np.array([len(k) // 8 for k in rows["keys"]])
         values = answer(int(bucket[0]), keys, extra, np.repeat(rows["part"].to_numpy(), sizes))
         ends = np.append(0, np.cumsum(sizes))
+        del keys, extra
+        give_back()
         return pd.DataFrame(
             {
                 "part": rows["part"].to_numpy(),

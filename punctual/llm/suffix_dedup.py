@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.llm.common import Scratch, text_or_empty
+from punctual.llm.common import Scratch, give_back, giving_back, text_or_empty
 from punctual.llm.packed_keys import FACTOR, PARTS, RunningHash, answers, mix, packs, questions, values_of
 
 LENGTH, GRAM = 100, 50
@@ -202,6 +202,7 @@ def _answers_of(keys: np.ndarray, told: pd.DataFrame, buckets: int, kind: str =
     return values_of(keys, told, buckets, kind)
 
 
+@giving_back
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stretches in parts, whose numbers rise with the place of their texts."""
     first, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
@@ -277,6 +278,7 @@ def named(segments: DataFrame, length: int, buckets: int) -> DataFrame:
     told = answers(asked, _name, "uint8", 1)
 
     def take(part: tuple, rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the group before left
         if not len(rows):
             return pd.DataFrame(columns=["part", "ids", "starts", "sizes", "text", "names"])
         row = rows.iloc[0].to_dict()
@@ -375,6 +377,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
     told = answers(questions(parts, _ask_anchors, buckets), _judge_anchors, "uint64", 2)
 
     def settle(part: tuple, rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the group before left
         if not len(rows):
             return pd.DataFrame(columns=["place", "spans", "starts", "sizes", "text"])
         return _settle(rows.iloc[0].to_dict(), values, buckets)
@@ -397,6 +400,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
     told = answers(questions(segments, _ask_windows, buckets), _earlier, "uint8", 1)
 
     def close(part: tuple, rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+        give_back()  # what the group before left
         if not len(rows):
             return pd.DataFrame(columns=["place", "spans"])
         return _repeated(rows.iloc[0].to_dict(), values, buckets)
@@ -417,6 +421,7 @@ def _kept(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(ends, [*spans[:, 0].tolist(), len(text)], strict=True))
 
 
+@giving_back
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -467,6 +472,7 @@ def _kept_text(texts: pd.Series, spans: pd.Series) -> pd.Series:
             for _ in range(3):
                 pairs[:, side] += step * inside[pairs[:, side]]
         out.append(_kept(raw, np.stack(_runs(pairs[:, 0], pairs[:, 1]), axis=1)).decode("utf-8"))
+    give_back()
     return pd.Series(out, dtype=object)
 
 
