@@ -5,7 +5,9 @@ as it occurs. Each run has a stream of arrivals, the same wherever it occurs: a
 process of its weight that drops arrivals into `REGISTERS` registers at random. A register
 keeps its earliest arrival's run, and a stream ends once its next arrival is later than what
 all registers hold, so two texts agree in a register with their probability Jaccard
-similarity. Texts that agree in all registers of a band are candidates.
+similarity. Texts that agree in all registers of a band are candidates. A text in which a run
+occurs twice has a second set of registers, in which each run weighs one: there texts agree
+with their plain Jaccard similarity. Other texts have the same registers either way.
 
 A bucket's center is its smallest text. Each text is first compared with the centers that
 most of its buckets have, and links of 0.8 or more join classes; the similarity is the larger
@@ -159,7 +161,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[bytes, int] = {}
         for i, digest in enumerate(digests):
             first.setdefault(digest, i)
-        keys: dict[bytes, np.ndarray] = {}
+        keys: dict[bytes, np.ndarray] = {}  # of weighted runs, then of distinct ones if those differ
         marks: dict[bytes, bytes] = {}
         names, runs, weights, held = [], [], [], 0
 
@@ -170,6 +172,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = signatures(row, np.concatenate(runs), np.concatenate(weights).astype(np.float64), len(names))
                 for name, k, m in zip(names, band_keys(own).astype(np.int64), own.astype(np.uint8), strict=True):
                     keys[name], marks[name] = k, m.tobytes()
+                again = [i for i, weight in enumerate(weights) if (weight > 1).any()]
+                if again:
+                    row = np.repeat(np.arange(len(again)), [len(runs[i]) for i in again])
+                    distinct = np.concatenate([runs[i] for i in again])
+                    own = signatures(row, distinct, np.ones(len(distinct)), len(again))
+                    for i, k in zip(again, band_keys(own).astype(np.int64), strict=True):
+                        keys[names[i]] = np.append(keys[names[i]], k)
             names, runs, weights, held = [], [], [], 0
 
         for digest, i in first.items():
@@ -384,7 +393,7 @@ def _cards(rows: pa.StructArray) -> dict[str, np.ndarray]:
     found = dict(zip([f.name for f in rows.type], rows.flatten(), strict=True))
     packed = lambda name, kind: np.frombuffer(b"".join(found[name].to_pylist()), kind).reshape(len(rows), -1)
     plain = {n: c.to_numpy(zero_copy_only=False) for n, c in found.items() if n not in ("keys", "marks")}
-    keys = found["keys"].flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+    keys = np.stack([np.resize(k, 2 * BANDS) for k in found["keys"].to_numpy(zero_copy_only=False)])
     return {**plain, "keys": keys, "marks": packed("marks", np.uint8)}
 
 
@@ -454,7 +463,7 @@ def _classes(documents: DataFrame, scratch: Scratch) -> DataFrame:
         F.first("marks").alias("marks"),
     )
     nodes = scratch.store(nodes, "nodes")
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("node").alias("n")).where("n > 1")
     members = scratch.store(keyed.join(buckets, "key").select("key", "node", "center"), "members")
     wanted = members.select("node").distinct()

@@ -248,3 +248,10 @@ def test_urls_follow_listed_rules_then_mined_ones(spark):
     assert out[905][2:] == ("net/fr/", "block")
     nothing = url_rules.mine(frame, labels.limit(0), url_rules.Scratch(spark, "t"))
     assert rows(nothing) == [] and len(rows(url_rules.judge(frame.limit(0), nothing))) == 0
+
+
+def test_near_duplicates_find_a_copy_with_a_line_repeated(documents, spark):
+    prose, line = text(300), text(10)
+    texts = [f"{prose}\n{line}" + f"\n{line}" * n for n in (0, 100, 400)] + [text(300)]
+    found = {r["doc_id"]: r["class_id"] for r in rows(near_dups.classes(documents(texts), near_dups.Scratch(spark, "t")))}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 3}
