@@ -2,9 +2,12 @@
 
 Token counts per cell (source, language, topic) are raked: in turn, the weights of each
 marginal are scaled to its target shares, until all three hold. The ratio of a cell's raked
-to its own weight, scaled so that the largest is one, is the probability with which its
-documents are kept, so the expected tokens of the sample have the target marginals. A
-document is kept if a hash of it lies below its probability: the same documents on each run.
+to its own weight, scaled and at most one, is the probability with which its documents are
+kept, so the expected tokens of the sample have the target marginals. The scale is set by the
+largest ratio once the cells of the largest ratios, up to `SLACK` of the target's tokens, are
+left out: those are kept whole and fall short of their target, together by at most that share,
+so a few stray rows do not set what is kept of the rest. A document is kept if a hash of it
+lies below its probability: the same documents on each run.
 
 A target is a temperature (shares to that power, scaled to one) or shares by value; values
 not listed then share what is left in proportion to their tokens.
@@ -27,6 +30,8 @@ MARGINS = ("source", "lang", "topic")
 #: Powers of the shares that the sample should have.
 TARGETS: Mapping[str, float] = {"source": 0.8, "lang": 0.8, "topic": 0.8}
 SWEEPS, SEED = 12, "mix-1"
+#: Share of the target's tokens in cells that may fall short of it.
+SLACK = 0.01
 #: Cells that one task rakes, about.
 CELLS = 200_000
 UNKNOWN = "\x00"
@@ -109,8 +114,11 @@ def rake(
             cells = cells.withColumn("raked", F.col("raked") * F.col(f"{m}_target") / own)
     share = F.col("tokens") / F.sum("tokens").over(Window.partitionBy())
     cells = cells.withColumn("weight", F.col("raked") / share)
-    top = F.max("weight").over(Window.partitionBy())
-    return cells.select(*keys, "weight", (F.col("weight") / top).alias("probability"))
+    # tokens of the target in cells of this ratio or a larger one
+    cells = cells.withColumn("reached", F.sum("raked").over(Window.partitionBy().orderBy(F.desc("weight"))))
+    beyond = F.col("reached") > SLACK * F.sum("raked").over(Window.partitionBy())
+    top = F.max(F.when(beyond, F.col("weight"))).over(Window.partitionBy())
+    return cells.select(*keys, "weight", F.least(F.lit(1.0), F.col("weight") / top).alias("probability"))
 
 
 def mixed(documents: DataFrame, scratch: Scratch, targets: Mapping[str, Target] = TARGETS) -> DataFrame:

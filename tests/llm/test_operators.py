@@ -255,3 +255,23 @@ def test_near_duplicates_find_a_copy_with_a_line_repeated(documents, spark):
     texts = [f"{prose}\n{line}" + f"\n{line}" * n for n in (0, 100, 400)] + [text(300)]
     found = {r["doc_id"]: r["class_id"] for r in rows(near_dups.classes(documents(texts), near_dups.Scratch(spark, "t")))}
     assert found == {0: 0, 1: 0, 2: 0, 3: 3}
+
+
+def test_mixing_is_not_set_by_one_stray_row(documents, spark):
+    many = documents([text(random.randint(200, 400)) for _ in range(400)]).drop("score", "part")
+    stray = spark.createDataFrame([(900, text(20), "xx", "stray", 0)], many.schema)
+
+    def masses(docs, n):
+        own = rows(mixing.mixed(docs, mixing.Scratch(spark, f"t{n}")))
+        assert all(0 < r["probability"] <= 1 for r in own)
+        assert all(r["kept"] for r in own if r["source"] == "stray")
+        total = collections.Counter()
+        for r in own:
+            total[r["source"]] += r["tokens"] * r["probability"]
+        return total, sum(r["tokens"] for r in own)
+
+    (without, n_without), (added, n_added) = masses(many, 0), masses(many.unionByName(stray), 1)
+    # neither the kept share nor the mix of the others turns on the row
+    assert abs(sum(added.values()) / n_added - sum(without.values()) / n_without) < 0.02
+    for source in without:
+        assert abs(added[source] / sum(added.values()) - without[source] / sum(without.values())) < 0.02
