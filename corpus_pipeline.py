@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in training sequences."""
-    return packing.packed(docs, Scratch(spark, "packing"), public_tokenizers.path(VOCABULARY))
+    return packing.packed(docs, Scratch(spark, "packing"), public_tokenizers.path(VOCABULARY), special=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

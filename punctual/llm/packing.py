@@ -9,8 +9,11 @@ Sequences of one context size are then dealt into step groups of near equal atte
 
 Texts are tokenized once, in Arrow batches, where also the checksum of each piece is taken;
 only lengths move. Rests are packed in groups of about `GROUP` documents, dealt by hash, so
-no task holds more. Ids are those of the `tokenizers` vocabulary file with the text taken as
-plain text; `tiktoken` with the same vocabulary gives the same ids several times faster.
+no task holds more. Ids are those of the `tokenizers` vocabulary file; `tiktoken` with the same
+vocabulary gives the same ids several times faster. Texts on which it does not are left to
+`tokenizers` itself: those with the string of an added token, and those with very long runs of
+white space. Strings of added tokens are taken as those tokens, as `tokenizers` does unless
+told otherwise, or with `special=False` as plain text.
 
 Defined cases. Null text: empty; it is packed as its end id alone. Repeated rows are packed
 each. No rows: no pieces. Other columns are ignored.
@@ -19,8 +22,11 @@ each. No rows: no pieces. Other columns are ignored.
 from __future__ import annotations
 
 import base64
+import functools
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -36,6 +42,8 @@ END, GROUP, STEP = 1, 8_000, 64
 TEXTS = 512
 #: How the vocabulary splits text before it merges; a fixed value.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs of white space that `tiktoken` is not given; it fails on a million blanks.
+BLANKS = re.compile(r"\s{100000}")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECE}, sequence_id long, offset long, tier int, step long"
 
@@ -55,6 +63,24 @@ def encoder(ranks_path: str):  # noqa: ANN201
     return registry.ENCODINGS[ranks_path]
 
 
+@functools.cache
+def ids_of(ranks_path: str, special: bool) -> Callable[[str], np.ndarray]:
+    """Ids of a text, as `tokenizers` gives them for the vocabulary file beside `ranks_path`."""
+    import tokenizers
+
+    fast = encoder(ranks_path)
+    whole = tokenizers.Tokenizer.from_file(str(Path(ranks_path).with_suffix(".json")))
+    whole.encode_special_tokens = not special
+    added = [token.content for token in whole.get_added_tokens_decoder().values()]
+
+    def ids(text: str) -> np.ndarray:
+        if BLANKS.search(text) or any(token in text for token in added):
+            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        return fast.encode_to_numpy(text, disallowed_special=())
+
+    return ids
+
+
 def cut(ids: np.ndarray, window: int) -> list[tuple[int, int, int]]:
     """(start, length, checksum) of the full windows of `ids` and of the rest."""
     ids = ids.astype("<u4")
@@ -62,12 +88,12 @@ def cut(ids: np.ndarray, window: int) -> list[tuple[int, int, int]]:
     return [(s, min(window, len(ids) - s), zlib.crc32(ids[s : s + window].tobytes())) for s in starts]
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, window: int) -> Iterator[pa.RecordBatch]:
-    encode = encoder(ranks_path).encode_to_numpy
+def _pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, window: int, special: bool) -> Iterator[pa.RecordBatch]:
+    encode = ids_of(ranks_path, special)
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            ids = np.append(encode(text.as_py(), disallowed_special=()), END)
+            ids = np.append(encode(text.as_py()), END)
             rows += [(doc_id, *piece, len(ids)) for piece in cut(ids, window)]
         columns = zip(*rows, strict=True) if rows else [[]] * 5
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
@@ -127,12 +153,12 @@ def _pack_group(key: tuple, pieces: pd.DataFrame, tiers: tuple[int, ...]) -> pd.
 
 
 def packed(
-    documents: DataFrame, scratch: Scratch, ranks_path: str, tiers: tuple[int, ...] = TIERS
+    documents: DataFrame, scratch: Scratch, ranks_path: str, tiers: tuple[int, ...] = TIERS, special: bool = False
 ) -> DataFrame:
     """The pieces of all documents: `start` and `length` in ids of the document, checksum,
     `sequence_id`, `offset` there, `tier` (its context size) and `step`."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    pieces = texts.mapInArrow(lambda batches: _pieces(batches, ranks_path, tiers[-1]), PIECE)
+    pieces = texts.mapInArrow(lambda batches: _pieces(batches, ranks_path, tiers[-1], special), PIECE)
     pieces = scratch.store(pieces, "pieces", TEXTS)
     groups = max(1, -(-documents.count() // GROUP))
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(groups)))

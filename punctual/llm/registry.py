@@ -70,7 +70,7 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "packing")
-    return packing.packed(table(spark, folder, "documents"), scratch, public_tokenizers.path(VOCABULARY))
+    return packing.packed(table(spark, folder, "documents"), scratch, public_tokenizers.path(VOCABULARY), special=True)
 
 
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:

@@ -275,3 +275,23 @@ def test_mixing_is_not_set_by_one_stray_row(documents, spark):
     assert abs(sum(added.values()) / n_added - sum(without.values()) / n_without) < 0.02
     for source in without:
         assert abs(added[source] / sum(added.values()) - without[source] / sum(without.values())) < 0.02
+
+
+def test_packing_takes_the_ids_of_the_default_tokenizer(spark, tmp_path):
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    from punctual.llm import registry
+
+    whole = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    texts = ["plain text", "a<|endoftext|> b", "x" + " " * 1_000_000 + "y", "\n" * 150_000 + "<|endoftext|>", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = collections.defaultdict(list)
+    for r in rows(registry.op6_packing(spark, str(tmp_path))):
+        pieces[r["doc_id"]].append(r)
+    for i, t in enumerate(texts):
+        ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        assert sum(p["length"] for p in pieces[i]) == len(ids)
+        for p in pieces[i]:
+            assert p["doc_tokens"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes())
