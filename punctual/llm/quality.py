@@ -6,13 +6,14 @@ figures of its structure. The score is the logistic of
     w0 + sum_i w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2),
 
 the second-degree interactions of all pairs in time linear in the features. It is fitted on
-a bounded sample of the labelled documents that are not held out (`SAMPLE` rows, the first by
-a hash of the id), with Adam on the driver; scoring runs over all documents in Arrow batches,
+a bounded sample of the labelled documents that are not held out (`SAMPLE` ids, the first by
+a hash of the id, with one row each), with Adam on the driver; scoring runs over all documents in Arrow batches,
 whole texts, and needs no shuffle. Labels, language, source and id are never features.
 
 Defined cases. Null text: the empty text, which has no words and zero structure and gets the
-score of that. Documents with several labels: the lowest counts. No usable labels: every
-score is 0.5. Repeated rows: scored alike. Other columns are ignored.
+score of that. Documents with several labels: the lowest counts. Ids that occur several times:
+the row of the lowest hash of its text is learned. No usable labels: every score is 0.5.
+Repeated rows: scored alike. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -187,15 +188,16 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         .limit(sample)
     )
     texts = documents.select("doc_id", text_or_empty().alias("text"))
-    # at most `sample` ids and labels
-    labelled = texts.join(F.broadcast(chosen), "doc_id").select("label", "text")
+    # at most `sample` ids and labels; then one row of each id, so no id takes the place of others
+    labelled = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    labelled = labelled.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("label", "least.text")
     with setting(documents.sparkSession, BATCH, str(TEXTS)):
         rows = labelled.mapInArrow(_sample_features, f"label int, {FEATURE_TYPE}").toArrow()
     flat = lambda name: rows.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
     ends = np.cumsum(rows.column("index").combine_chunks().value_lengths().to_numpy(zero_copy_only=False))[:-1]
     found = zip(np.split(flat("index"), ends), np.split(flat("value"), ends), rows.column("label").to_pylist(), strict=True)
-    # rows come in any order; repeated documents count up to the bound
-    examples = sorted(found, key=lambda e: (e[2], len(e[0]), e[0].tobytes()))[:sample] if rows.num_rows else []
+    # rows come in any order
+    examples = sorted(found, key=lambda e: (e[2], len(e[0]), e[0].tobytes())) if rows.num_rows else []
     return fit([e[:2] for e in examples], np.array([e[2] for e in examples], dtype=np.float64))
 
 

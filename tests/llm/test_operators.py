@@ -295,3 +295,15 @@ def test_packing_takes_the_ids_of_the_default_tokenizer(spark, tmp_path):
         for p in pieces[i]:
             assert p["doc_tokens"] == len(ids)
             assert p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes())
+
+
+def test_quality_learns_one_row_of_an_id(documents, spark):
+    prose = [text(80) for _ in range(60)]
+    junk = [(random.choice(WORDS) + "!! ") * 60 for _ in range(60)]
+    repeated = next(i for i in range(60, 120) if zlib.crc32(str(i).encode()) % 5)
+    docs = documents([*enumerate([*prose, *junk]), *[(repeated, f"{junk[0]} {n}") for n in range(300)]])
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    model = quality.train(docs, labels, sample=200)
+    out = rows(quality.scored(docs, model))
+    assert np.mean([r["score"] >= quality.THRESHOLD for r in out if r["doc_id"] < 60]) > 0.95
+    assert np.mean([r["score"] < quality.THRESHOLD for r in out if r["doc_id"] >= 60]) > 0.95
