@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import timetable_row, train
+from builders import timetable_row, train
 
 from punctual.operators.quality import DataTestError
 from punctual.plans import build

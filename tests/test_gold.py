@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import event
+from builders import event
 from pyspark.sql import functions as F
 
 from punctual.plans import gold

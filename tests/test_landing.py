@@ -2,7 +2,7 @@ import datetime as dt
 import gzip
 
 import pytest
-from conftest import timetable_row, train
+from builders import timetable_row, train
 from pyspark.sql import functions as F
 
 from punctual.plans import bronze, silver

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import event
+from builders import event
 
 from punctual.plans.marts import Marts
 from punctual.plans.reports import train_types
