@@ -2,4 +2,46 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP11 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE len(w) > 0
+), runs AS (
+    SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+    FROM starts, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE i + m - 1 <= len(w)
+), counts AS (
+    SELECT lang, m, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), candidates AS (
+    SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r,
+           (2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a) AS score
+    FROM candidates c, (VALUES (1), (2), (3)) AS ks(k), counts l, counts r
+    WHERE k < c.m AND l.lang = c.lang AND r.lang = c.lang
+      AND l.phrase = array_to_string(c.w[1:k], ' ') AND r.phrase = array_to_string(c.w[k + 1 : c.m], ' ')
+), weakest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_runs AS (
+    SELECT lang, a, array_to_string(w[i : i + s - 1], ' ') AS phrase
+    FROM candidates, (VALUES (2), (3)) AS sizes(s), (VALUES (1), (2), (3)) AS firsts(i)
+    WHERE s < m AND i + s - 1 <= m
+), longer AS (
+    SELECT lang, phrase, max(a) AS most FROM inner_runs GROUP BY ALL
+), ranked AS (
+    SELECT w.lang, w.phrase, w.a, w.l, w.r, t.n, w.score,
+           row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, encode(w.phrase)) AS rank
+    FROM weakest w JOIN totals t USING (lang) LEFT JOIN longer USING (lang, phrase)
+    WHERE most IS NULL OR 100 * most < 80 * w.a
+)
+SELECT lang, rank::INTEGER AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op11_collocations": OP11}

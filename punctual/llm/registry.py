@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm import (
+    alignment,
     block_search,
     chat,
+    collocations,
     fingerprints,
+    languages,
     mixing,
     near_dups,
     packing,
@@ -28,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The conversation that holds control strings.
 PLANTED = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 VOCABULARY = "byte_bpe_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,6 +112,21 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), Scratch(spark, "collocations"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    documents, scratch = table(spark, folder, "documents"), Scratch(spark, "alignment")
+    return alignment.aligned(documents, scratch, *map(public_tokenizers.path, ALIGNED))
+
+
+def op13_languages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = languages.predicted(table(spark, folder, "documents"))
+    rows = rows.select("doc_id", "held_out", "lang_pred", "score")
+    return Scratch(spark, "languages").store(rows, "predicted", languages.TEXTS)
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_mixing": op2_mixing,
@@ -119,5 +138,8 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat": op9_chat,
     "op10_url_rules": op10_url_rules,
+    "op11_collocations": op11_collocations,
+    "op12_alignment": op12_alignment,
+    "op13_languages": op13_languages,
     "pipeline": corpus_pipeline.run,
 }
