@@ -167,10 +167,9 @@ def frequent_pairs(texts: DataFrame, scratch: Scratch, least: int) -> np.ndarray
         return pd.DataFrame({"bucket": [key[0]], "bits": [np.packbits(own).tobytes()]})
 
     counts = texts.mapInArrow(giving_back(lambda batches: _pair_counts(batches, buckets, least)), PAIRS)
-    counts = scratch.store(counts, "pairs", TEXTS)
-    found = counts.groupBy("bucket").applyInPandas(bits, "bucket long, bits binary").collect()
+    found = scratch.store(counts.groupBy("bucket").applyInPandas(bits, "bucket long, bits binary"), "map", TEXTS)
     out = np.zeros((buckets, width // 8), np.uint8)
-    for bucket, own in found:
+    for bucket, own in found.collect():
         out[bucket] = np.frombuffer(own, np.uint8)
     return out.reshape(-1)
 
@@ -248,7 +247,9 @@ def counts_of(graph: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFra
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
-    return scratch.store(out, "counts")
+    out = scratch.store(out, "counts")
+    scratch.drop(*(f"flow-{words}" for words in range(1, LONGEST)))
+    return out
 
 
 def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
