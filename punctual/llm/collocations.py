@@ -50,7 +50,7 @@ PIECE_END, WORD_END = "[.,;:!?\\x0A-\\x0D]", "[ \\t]+"
 #: Bits of the map of pairs, as a power of two: 8 MB at any size of the corpus.
 MAP_BITS = 26
 #: Text bytes that are cut at a time, distinct pairs that a task holds, bytes of pairs to a bucket.
-TEXT, HELD, BUCKET = 8 << 20, 4_000_000, 32 << 20
+TEXT, HELD, BUCKET = 4 << 20, 1_500_000, 32 << 20
 #: Texts that a Python worker is given at a time.
 TEXTS = 512
 PAIRS = "bucket long, keys binary, counts binary"
