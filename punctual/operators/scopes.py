@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,11 @@ def _scope(type_: Column, category: Column) -> list[Column]:
     return [rank.alias("scope_rank"), F.coalesce(type_, category).alias("scope_value")]
 
 
-def aggregate_scopes(df: DataFrame, *aggregates: Column) -> DataFrame:
-    """Aggregate a small pre-aggregated frame over the three scopes in one pass."""
-    type_, category = F.col(TYPE), F.col(CATEGORY)
-    grouped = df.groupingSets([[], [type_], [category]], type_, category)
+def aggregate_scopes(df: DataFrame, *aggregates: Column, within: Sequence[str] = ()) -> DataFrame:
+    """Aggregate a pre-aggregated frame over the three scopes in one pass, or over the
+    columns `within` each scope."""
+    type_, category, inner = F.col(TYPE), F.col(CATEGORY), [F.col(c) for c in within]
+    grouped = df.groupingSets([inner, [type_, *inner], [category, *inner]], type_, category, *inner)
     return grouped.agg(*_scope(type_, category), *aggregates).drop(TYPE, CATEGORY)
 
 

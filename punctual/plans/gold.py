@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.functions import (
+    MEASURES,
     actual_bucket,
     average_delay,
     day_name,
@@ -25,7 +26,7 @@ from punctual.functions import (
 )
 from punctual.operators.histogram import weighted_percentile
 from punctual.operators.runs import day_runs
-from punctual.operators.scopes import KEYS, OVERALL, aggregate_scopes, empty_total, fold
+from punctual.operators.scopes import CATEGORY, KEYS, OVERALL, TYPE, aggregate_scopes, empty_total, fold
 
 # The compared pair of train types, volume gates, category names.
 PAIR = ("IC", "HDM")
@@ -118,13 +119,24 @@ def timetable_coverage(fact: DataFrame) -> DataFrame:
     )
 
 
+def station_trains(fact: DataFrame) -> DataFrame:
+    """Measures and number of trains per station."""
+    trains = F.countDistinct(*TRAIN_KEYS).alias("total_trains")
+    return commercial(fact).groupBy("stationShortCode").agg(*event_measures(), trains)
+
+
 def station_performance(
     fact: DataFrame, stations: DataFrame, min_events: int = MIN_STATION_EVENTS
 ) -> DataFrame:
     """Volume and punctuality per passenger station; the fact is reduced to one row
     per station before it meets the dimension."""
-    trains = F.countDistinct(*TRAIN_KEYS).alias("total_trains")
-    per_station = commercial(fact).groupBy("stationShortCode").agg(*event_measures(), trains)
+    return station_figures(station_trains(fact), stations, min_events)
+
+
+def station_figures(
+    per_station: DataFrame, stations: DataFrame, min_events: int = MIN_STATION_EVENTS
+) -> DataFrame:
+    """The figures of passenger stations from one row of measures and trains for each."""
     return (
         per_station.where(F.col("events") >= min_events)
         .join(stations.where("passengerTraffic"), "stationShortCode")
@@ -155,42 +167,70 @@ def _category_shares() -> list[Column]:
     return [percentage(f"n_{c}", "events").alias(f"{c}_pct") for c in KNOWN_CATEGORIES]
 
 
-def _value_counts(events: DataFrame, *keys: str) -> DataFrame:
-    """Events per key and distinct delay, with the additive measures. Its size follows
-    the spread of delay values, not the number of events."""
-    counts = events.groupBy(*keys, "delay_minutes").agg(*event_measures())
+def _with_category(counts: DataFrame) -> DataFrame:
     return counts.withColumn("delay_category", delay_category("delay_minutes"))
 
 
-def on_time_performance(fact: DataFrame) -> DataFrame:
-    """Metrics for all events, per train type and per train category.
+def _side_by_side(events: DataFrame, shared: list[str], counted: list[str], *others: list[str]) -> DataFrame:
+    """Value counts and distinct keys from one pass over the events.
 
-    Three narrow passes (delays, stations, trains) each end in a table of a few rows
-    per scope. Only de-duplicated rows are expanded per scope, never the events.
+    Each event takes part in every grouping (`shared` plus `counted`, `shared` plus one of
+    `others`) and is folded on the map side. Rows of the first grouping hold the measures;
+    in the others they are NULL, and so are key columns outside a row's own grouping. What
+    is left follows the spread of delays and the number of keys, not of events.
     """
-    events = commercial(fact)
-    scope = ["trainType", "trainCategory"]
-    delays = aggregate_scopes(
-        _value_counts(events, *scope),
+    groupings = [shared + own for own in (counted, *others)]
+    columns = list(dict.fromkeys(c for own in groupings for c in own))
+    sets = [[F.col(c) for c in own] for own in groupings]
+    # bits of the columns that the first grouping leaves out
+    first = sum(1 << at for at, c in enumerate(reversed(columns)) if c not in groupings[0])
+    grouped = events.groupingSets(sets, *[F.col(c) for c in columns])
+    rows = grouped.agg(F.grouping_id().alias("_grouping"), *event_measures())
+    own = {m: F.when(F.col("_grouping") == first, F.col(m)) for m in MEASURES}
+    return rows.withColumns(own)
+
+
+def _with_numbers(rows: DataFrame, keys: list[str], counted: list[str], **items: list[str]) -> DataFrame:
+    """Value counts per `keys` and `counted` from rows that hold each item once; `items` are
+    numbers of rows whose columns of that item are all known. They stand beside the counts of
+    no value, to be added up."""
+    known = {n: " AND ".join(f"{c} IS NOT NULL" for c in columns) for n, columns in items.items()}
+    numbers = [F.expr(f"count_if({condition}) AS {name}") for name, condition in known.items()]
+    counts = rows.groupBy(*keys, "_grouping", *counted).agg(*merged_measures(), *numbers)
+    return _with_category(counts.drop("_grouping"))
+
+
+def _delay_figures() -> list[Column]:
+    return [
         *merged_measures(),
-        weighted_percentile("delay_minutes", "delay_count", 0.5).alias("median"),
         F.max("delay_minutes").alias("max_delay_minutes"),
         F.min("delay_minutes").alias("min_delay_minutes"),
         *_category_events(),
-    )
-    stations = aggregate_scopes(
-        events.select(*scope, "stationShortCode").distinct(),
-        F.countDistinct("stationShortCode").alias("total_stations"),
-    )
-    trains = aggregate_scopes(
-        events.select(*TRAIN_KEYS, *scope).distinct(),
-        F.countDistinct(*TRAIN_KEYS).alias("total_trains"),  # leaves out NULL key parts
-    )
+    ]
 
+
+def _scope_figures() -> list[Column]:
+    return [*_delay_figures(), weighted_percentile("delay_minutes", "delay_count", 0.5).alias("median")]
+
+
+def on_time_performance(fact: DataFrame) -> DataFrame:
+    """Metrics for all events, per train type and per train category, from one pass over the
+    events; only what that pass has folded is expanded over the scopes."""
+    items = ["stationShortCode", *TRAIN_KEYS]
+    rows = _side_by_side(commercial(fact), [TYPE, CATEGORY], ["delay_minutes"], items[:1], TRAIN_KEYS)
+    # an item that occurs with several types counts once in each wider scope
+    rows = aggregate_scopes(rows, *merged_measures(), within=["_grouping", "delay_minutes", *items])
+    numbers = {"total_stations": items[:1], "total_trains": TRAIN_KEYS}
+    counts = _with_numbers(rows, KEYS, ["delay_minutes"], **numbers)
+    return on_time_table([counts.groupBy(*KEYS).agg(*_scope_figures(), *merged_measures(*numbers))])
+
+
+def on_time_table(pieces: list[DataFrame]) -> DataFrame:
+    """The table from figures per scope, which may come in several pieces."""
     scope_name = F.when(F.col("scope_rank") == OVERALL, "Overall").otherwise(F.col("scope_value"))
     counts = {c: f"{c}_count" for c in KNOWN_CATEGORIES} | {"on_time": "on_time_count_strict"}
-    no_rows = empty_total(fact.sparkSession, "events", "total_stations")
-    result = fold([delays, stations, trains, no_rows], KEYS).select(
+    no_rows = empty_total(pieces[0].sparkSession, "events", "total_stations")
+    result = fold([*pieces, no_rows], KEYS).select(
         "scope_rank",
         scope_name.alias("metric_scope"),
         F.col("events").alias("total_events"),
@@ -210,42 +250,35 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
     return result.orderBy(position, F.col("metric_scope").asc_nulls_last(), "scope_rank").drop("scope_rank")
 
 
-def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
-    """Volume, punctuality and delay distribution of two train types side by side."""
-    events = of_pair(fact, pair)
-    key = "trainType"
+def _pair_figures() -> list[Column]:
     arrivals, departures = "event_type = 'ARRIVAL'", "event_type = 'DEPARTURE'"
-    delays = (
-        _value_counts(events, key, "event_type")
-        .groupBy(key)
-        .agg(
-            *merged_measures(),
-            F.min("delay_minutes").alias("min_delay_minutes"),
-            F.max("delay_minutes").alias("max_delay_minutes"),
-            *[
-                weighted_percentile("delay_minutes", "delay_count", at).alias(name)
-                for name, at in [("median", 0.5), ("p25", 0.25), ("p75", 0.75), ("p90", 0.9), ("p95", 0.95)]
-            ],
-            *_category_events(),
-            _total("events", arrivals, "arrival_count"),
-            _total("events", departures, "departure_count"),
-            _total("on_time_events", arrivals, "arrival_on_time"),
-            _total("on_time_events", departures, "departure_on_time"),
-        )
-    )
-    places = events.select(key, "stationShortCode", F.col("scheduled_time").cast("date").alias("day"))
-    station_days = (
-        places.distinct()
-        .groupBy(key)
-        .agg(
-            F.countDistinct("stationShortCode").alias("stations_served"),
-            F.countDistinct("day").alias("operating_days"),
-        )
-    )
-    trains = events.groupBy(key).agg(F.countDistinct(*TRAIN_KEYS).alias("total_trains"))
+    percentiles = [("median", 0.5), ("p25", 0.25), ("p75", 0.75), ("p90", 0.9), ("p95", 0.95)]
+    return [
+        *_delay_figures(),
+        *[weighted_percentile("delay_minutes", "delay_count", at).alias(name) for name, at in percentiles],
+        _total("events", arrivals, "arrival_count"),
+        _total("events", departures, "departure_count"),
+        _total("on_time_events", arrivals, "arrival_on_time"),
+        _total("on_time_events", departures, "departure_on_time"),
+    ]
+
 
-    result = fold([delays, station_days, trains], [key]).select(
-        F.col(key).alias("train_type"),
+def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
+    """Volume, punctuality and delay distribution of two train types side by side, from one
+    pass over their events."""
+    events = of_pair(fact, pair).withColumn("scheduled_day", F.col("scheduled_time").cast("date"))
+    counted = ["event_type", "delay_minutes"]
+    numbers = {"stations_served": ["stationShortCode"], "operating_days": ["scheduled_day"], "total_trains": TRAIN_KEYS}
+    rows = _side_by_side(events, [TYPE], counted, *numbers.values())
+    counts = _with_numbers(rows, [TYPE], counted, **numbers)
+    figures = counts.groupBy(TYPE).agg(*_pair_figures(), *merged_measures(*numbers))
+    return pair_table(figures, pair)
+
+
+def pair_table(figures: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
+    """The comparison from one row of figures per type."""
+    result = figures.select(
+        F.col("trainType").alias("train_type"),
         F.col("events").alias("total_stops"),
         "total_trains",
         "stations_served",

@@ -473,7 +473,7 @@ QUERIES: dict[str, Query] = {
     "fact_events": fact_events,
     "otp_by_scope": _on_events(_rollup("on_time_performance")),
     "otp_by_scope_star": _on_lineitem(
-        _rollup("on_time_performance"), train_type=True, category=True, stored=True
+        _rollup("on_time_performance"), train_type=True, category=True
     ),
     "daily_performance": _on_events(_rollup("daily_performance")),
     "hourly_delay_categories": _on_events(_rollup("hourly_delay_categories")),
