@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.operators.quality import enforce, run_tests
-from punctual.plans import bronze, gold, silver
-from punctual.plans.marts import FACT, GOLD_TABLES, ROLLUPS, STATION_ROLLUP, STATIONS, Marts
+from punctual.plans import bronze, silver
+from punctual.plans.marts import FACT, GOLD_TABLES, STATION_ROLLUP, STATIONS, Marts
 from punctual.plans.quality_suite import SUITE
+from punctual.plans.states import BY_DAY, MERGED, STATES, station_performance
 from punctual.sources import day_files, landing
 from punctual.sources.tables import Warehouse
 
-BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+BRONZE, SILVER, STATE, GOLD = "bronze", "silver", "states", "gold"
 TRAINS, BRONZE_STATIONS = "train_departures", "stations"
 TESTS, REPORT = "tests", "results"
 LOADS, COVERAGE = "load_runs", "coverage_record"
@@ -73,11 +74,7 @@ def build_silver(warehouse: Warehouse, since: dt.date | None = None) -> None:
         warehouse.overwrite_days(_fact(trains), SILVER, FACT)
     else:
         fact = _fact(trains.where(F.col("departureDate") >= F.lit(since)))
-        warehouse.replace_days(fact, SILVER, FACT)
-        # at most the days of the window
-        left = {row[0] for row in fact.select("departureDate").distinct().collect()}
-        gone = [d for d in warehouse.days(SILVER, FACT) if d >= since and d not in left]
-        warehouse.drop_days(gone, SILVER, FACT)
+        warehouse.replace_days(fact, SILVER, FACT, since)
     warehouse.overwrite(silver.dim_stations(warehouse.read(BRONZE, BRONZE_STATIONS)), SILVER, STATIONS)
 
 
@@ -85,20 +82,40 @@ def _fact(trains: DataFrame) -> DataFrame:
     return silver.fact_timetable_events(silver.timetable_unnested(trains))
 
 
-def build_gold(warehouse: Warehouse) -> None:
-    fact, stations = warehouse.read_days(SILVER, FACT), warehouse.read(SILVER, STATIONS)
-    for name, rollup in ROLLUPS.items():
-        warehouse.overwrite(rollup(fact), GOLD, name)
-    warehouse.overwrite(gold.station_performance(fact, stations), GOLD, STATION_ROLLUP)
+def build_gold(warehouse: Warehouse, since: dt.date | None = None, oldest: dt.date | None = None) -> None:
+    """Bring the states of the fact's days from `since` on up to date, or of all days, drop
+    those of days before `oldest`, and merge the gold tables from the states. Of the fact only
+    the days from `since` on are read."""
+    refresh_states(warehouse, since)
+    if oldest is not None:
+        for layer, names in ((STATE, STATES), (GOLD, BY_DAY)):
+            for name in names:
+                warehouse.drop_days_before(oldest, layer, name)
+    read = lambda name: warehouse.read_days(STATE, name)
+    for name, merge in MERGED.items():
+        warehouse.overwrite(merge(read), GOLD, name)
+    stations = warehouse.read(SILVER, STATIONS)
+    warehouse.overwrite(station_performance(read, stations), GOLD, STATION_ROLLUP)
+
+
+def refresh_states(warehouse: Warehouse, since: dt.date | None = None) -> None:
+    """Replace the states, and the gold tables by day, of the days from `since` on. A table
+    that is not there yet, say after an update of this library, is made from all days."""
+    fact = warehouse.read_days(SILVER, FACT)
+    for layer, tables in ((STATE, STATES), (GOLD, BY_DAY)):
+        for name, state in tables.items():
+            if since is None or not warehouse.has(layer, name):
+                warehouse.overwrite_days(state(fact), layer, name)
+            else:
+                window = fact.where(F.col("departureDate") >= F.lit(since))
+                warehouse.replace_days(state(window), layer, name, since)
 
 
 def stored_marts(warehouse: Warehouse) -> Marts:
     """The tables of a finished build, for the reports."""
 
     def read(name: str) -> DataFrame:
-        if name == FACT:
-            return warehouse.read_days(SILVER, FACT)
-        return warehouse.read(SILVER if name == STATIONS else GOLD, name)
+        return warehouse.read(SILVER if name in (FACT, STATIONS) else GOLD, name)
 
     return Marts.from_tables(read)
 
@@ -131,7 +148,7 @@ def run_daily(
     build_silver(warehouse, since)
     for layer, name in ((BRONZE, TRAINS), (SILVER, FACT)):
         warehouse.drop_days_before(options.retention_cutoff, layer, name)
-    build_gold(warehouse)
+    build_gold(warehouse, since, options.retention_cutoff)
     trains = warehouse.read_days(BRONZE, TRAINS)
     warehouse.overwrite(landing.coverage_record(trains), GOLD, COVERAGE)
 

@@ -35,6 +35,8 @@ MIN_PAIR_STATION_STOPS = 10
 KNOWN_CATEGORIES = ["early", "on_time", "slightly_late", "late", "very_late"]
 
 TRAIN_KEYS = ["trainNumber", "departureDate"]
+DAILY_KEYS = ["actual_bucket", "trainType", "trainCategory", "day_of_week", "scheduled_month", "is_weekend"]
+HOURLY_KEYS = ["scheduled_hour", "time_of_day_category", "trainType", "trainCategory", "delay_category"]
 
 
 def commercial(fact: DataFrame) -> DataFrame:
@@ -51,13 +53,11 @@ def with_bucket(events: DataFrame) -> DataFrame:
 
 
 def daily_performance(fact: DataFrame) -> DataFrame:
-    keys = ["actual_bucket", "trainType", "trainCategory", "day_of_week", "scheduled_month", "is_weekend"]
-    return with_bucket(commercial(fact)).groupBy(*keys).agg(*event_measures())
+    return with_bucket(commercial(fact)).groupBy(*DAILY_KEYS).agg(*event_measures())
 
 
 def hourly_delay_categories(fact: DataFrame) -> DataFrame:
-    keys = ["scheduled_hour", "time_of_day_category", "trainType", "trainCategory", "delay_category"]
-    return commercial(fact).groupBy(*keys).agg(*event_measures())
+    return commercial(fact).groupBy(*HOURLY_KEYS).agg(*event_measures())
 
 
 def delay_histogram(fact: DataFrame) -> DataFrame:
@@ -119,18 +119,14 @@ def timetable_coverage(fact: DataFrame) -> DataFrame:
     )
 
 
-def station_trains(fact: DataFrame) -> DataFrame:
-    """Measures and number of trains per station."""
-    trains = F.countDistinct(*TRAIN_KEYS).alias("total_trains")
-    return commercial(fact).groupBy("stationShortCode").agg(*event_measures(), trains)
-
-
 def station_performance(
     fact: DataFrame, stations: DataFrame, min_events: int = MIN_STATION_EVENTS
 ) -> DataFrame:
     """Volume and punctuality per passenger station; the fact is reduced to one row
     per station before it meets the dimension."""
-    return station_figures(station_trains(fact), stations, min_events)
+    trains = F.countDistinct(*TRAIN_KEYS).alias("total_trains")
+    per_station = commercial(fact).groupBy("stationShortCode").agg(*event_measures(), trains)
+    return station_figures(per_station, stations, min_events)
 
 
 def station_figures(
@@ -167,7 +163,7 @@ def _category_shares() -> list[Column]:
     return [percentage(f"n_{c}", "events").alias(f"{c}_pct") for c in KNOWN_CATEGORIES]
 
 
-def _with_category(counts: DataFrame) -> DataFrame:
+def with_category(counts: DataFrame) -> DataFrame:
     return counts.withColumn("delay_category", delay_category("delay_minutes"))
 
 
@@ -197,7 +193,7 @@ def _with_numbers(rows: DataFrame, keys: list[str], counted: list[str], **items:
     known = {n: " AND ".join(f"{c} IS NOT NULL" for c in columns) for n, columns in items.items()}
     numbers = [F.expr(f"count_if({condition}) AS {name}") for name, condition in known.items()]
     counts = rows.groupBy(*keys, "_grouping", *counted).agg(*merged_measures(), *numbers)
-    return _with_category(counts.drop("_grouping"))
+    return with_category(counts.drop("_grouping"))
 
 
 def _delay_figures() -> list[Column]:
@@ -209,7 +205,7 @@ def _delay_figures() -> list[Column]:
     ]
 
 
-def _scope_figures() -> list[Column]:
+def scope_figures() -> list[Column]:
     return [*_delay_figures(), weighted_percentile("delay_minutes", "delay_count", 0.5).alias("median")]
 
 
@@ -222,7 +218,7 @@ def on_time_performance(fact: DataFrame) -> DataFrame:
     rows = aggregate_scopes(rows, *merged_measures(), within=["_grouping", "delay_minutes", *items])
     numbers = {"total_stations": items[:1], "total_trains": TRAIN_KEYS}
     counts = _with_numbers(rows, KEYS, ["delay_minutes"], **numbers)
-    return on_time_table([counts.groupBy(*KEYS).agg(*_scope_figures(), *merged_measures(*numbers))])
+    return on_time_table([counts.groupBy(*KEYS).agg(*scope_figures(), *merged_measures(*numbers))])
 
 
 def on_time_table(pieces: list[DataFrame]) -> DataFrame:
@@ -250,7 +246,7 @@ def on_time_table(pieces: list[DataFrame]) -> DataFrame:
     return result.orderBy(position, F.col("metric_scope").asc_nulls_last(), "scope_rank").drop("scope_rank")
 
 
-def _pair_figures() -> list[Column]:
+def pair_figures() -> list[Column]:
     arrivals, departures = "event_type = 'ARRIVAL'", "event_type = 'DEPARTURE'"
     percentiles = [("median", 0.5), ("p25", 0.25), ("p75", 0.75), ("p90", 0.9), ("p95", 0.95)]
     return [
@@ -271,7 +267,7 @@ def pair_comparison(fact: DataFrame, pair: tuple[str, str] = PAIR) -> DataFrame:
     numbers = {"stations_served": ["stationShortCode"], "operating_days": ["scheduled_day"], "total_trains": TRAIN_KEYS}
     rows = _side_by_side(events, [TYPE], counted, *numbers.values())
     counts = _with_numbers(rows, [TYPE], counted, **numbers)
-    figures = counts.groupBy(TYPE).agg(*_pair_figures(), *merged_measures(*numbers))
+    figures = counts.groupBy(TYPE).agg(*pair_figures(), *merged_measures(*numbers))
     return pair_table(figures, pair)
 
 

@@ -42,6 +42,39 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below `path`; none if it is absent."""
+    target, fs = _hadoop(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target, fs = _hadoop(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that is there whole or not at all; False if there is one already."""
+    target, fs = _hadoop(spark, path)
+    if fs.exists(target):
+        return False
+    parent, name = path.rsplit("/", 1)
+    staged, _ = _hadoop(spark, f"{parent}/_{uuid.uuid4().hex}-{name}")
+    fs.mkdirs(staged.getParent())
+    stream = fs.create(staged, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.exists(target) and fs.rename(staged, target):
+        return True
+    fs.delete(staged, False)
+    return False
+
+
 def delete(spark: SparkSession, paths: Iterable[str]) -> None:
     for path in paths:
         target, fs = _hadoop(spark, path)

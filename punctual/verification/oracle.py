@@ -713,3 +713,16 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'archive_rows', COUNT(*) FROM orders
       UNION ALL SELECT 'incident_rows', COUNT(*) FROM incidents""",
 }
+
+# stored roll-ups give what those over events give
+ORACLE |= {
+    f"stored_{name}": ORACLE[name]
+    for name in (
+        "otp_by_scope pair_comparison daily_performance hourly_delay_categories delay_histogram train_spans "
+        "station_presence pair_station_daily pair_hourly_daily timetable_coverage headline rush_hour "
+        "weekend_summary period_metrics rankings_range consistency_median"
+    ).split()
+}
+ORACLE["stored_station_performance"] = f"{E_DIM}, {STATION_FIGURES} SELECT * FROM total"
+ORACLE["gold_reload"] = f"""{E} SELECT CAST("departureDate" AS VARCHAR) AS "departureDate", COUNT(*) AS events
+FROM fact GROUP BY ALL"""

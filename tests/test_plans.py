@@ -9,15 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctual.operators.latest import latest_per_key
-from punctual.plans import gold
+from punctual.plans import build, gold, states
 from punctual.plans.marts import Marts
 from punctual.plans.reports import pair, star, train_types
 from punctual.sources import sample_tables as sample
 from punctual.sources.tables import Warehouse
-from punctual.verification.queries import registered
+from punctual.verification.queries import registered, stored_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built"}
+WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built", "stored", "gold"}
 
 
 def plan(df):
@@ -35,7 +35,6 @@ def eager(name):
     return name.split("_")[0] in WRITES_TABLES or name in {
         "raw_train_statistics",
         "streamed_from_landing",
-        "otp_by_scope_star",
         "consistency_median_star",
     }
 
@@ -70,6 +69,32 @@ def test_period_prunes_day_folders(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*departureDate.*> date_sub\(.*[Ss]ubquery", text)
 
 
+def test_stored_reports_and_merges_read_no_event(spark):
+    warehouse = stored_warehouse(spark, FOLDER)
+    fact = warehouse.path("silver", "fact_timetable_events")
+    for name in (n for n in registered() if n.startswith("stored_")):
+        assert fact not in plan(registered()[name](spark, FOLDER))
+    for merge in states.MERGED.values():
+        assert fact not in plan(merge(lambda name: warehouse.read("states", name)))
+
+
+def test_a_reload_rewrites_one_day_of_each_roll_up(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    fact = sample.event_fact(spark, FOLDER)
+    warehouse.overwrite_days(fact, "silver", "fact_timetable_events")
+    build.refresh_states(warehouse)
+    day = warehouse.days("silver", "fact_timetable_events")[-1]
+    tables = [("states", n) for n in states.STATES] + [("gold", n) for n in states.BY_DAY]
+    before = {t: set(warehouse.pointer(*t).folders) for t in tables}
+    build.refresh_states(warehouse, day)
+    for table in tables:
+        after = set(warehouse.pointer(*table).folders)
+        assert len(after) == len(before[table]) > 1
+        assert {f.rsplit("=", 1)[1] for f in after - before[table]} == {day.isoformat()}
+    window = warehouse.read("silver", "fact_timetable_events").where(F.col("departureDate") >= F.lit(day))
+    assert "PartitionFilters: [isnotnull(departureDate" in plan(states.delay_counts(window))
+
+
 def test_newest_version_is_kept_before_the_shuffle(spark):
     lines = sample.table(spark, FOLDER, "lineitem")
     text = initial(latest_per_key(lines, ["l_orderkey"], [F.desc("l_partkey")]))
@@ -146,8 +171,8 @@ def test_hot_day_is_split_on_write(spark, hot, tmp_path):
     try:
         warehouse = Warehouse(spark, str(tmp_path))
         warehouse.overwrite_days(hot.repartition(8), "silver", "hot")
-        day = tmp_path / "silver" / "hot" / "departureDate=2024-01-02"
-        assert len(list(day.glob("part-*"))) > 1
+        files = (tmp_path / "silver" / "hot").glob("_version=*/departureDate=2024-01-02/part-*")
+        assert len(list(files)) > 1
         assert warehouse.read_days("silver", "hot").count() == 60_000
     finally:
         for key, value in before.items():
