@@ -726,3 +726,15 @@ ORACLE |= {
 ORACLE["stored_station_performance"] = f"{E_DIM}, {STATION_FIGURES} SELECT * FROM total"
 ORACLE["gold_reload"] = f"""{E} SELECT CAST("departureDate" AS VARCHAR) AS "departureDate", COUNT(*) AS events
 FROM fact GROUP BY ALL"""
+
+# manifest: one file for each year and batch
+ORACLE["snapshot_log"] = """WITH held AS (
+    SELECT l_orderkey % 3 + 1 AS batch, year(l_shipdate) AS y, COUNT(*) AS n FROM lineitem GROUP BY ALL)
+  SELECT CAST(number AS BIGINT) AS number, 'INSERT' AS operation, COUNT(*) AS files, CAST(SUM(n) AS BIGINT) AS rows
+  FROM held JOIN (VALUES (1), (2), (3)) AS numbers(number) ON batch <= number GROUP BY number
+  UNION ALL SELECT 4, 'DELETE', COUNT(*), CAST(SUM(n) AS BIGINT) FROM held WHERE y <> 1996"""
+ORACLE["rewritten_file_read"] = """SELECT CAST(l_linenumber AS BIGINT) AS l_linenumber, COUNT(*) AS n,
+    CAST(MAX(CAST(l_shipdate AS DATE) + INTERVAL 10 YEAR)::DATE AS VARCHAR) AS last_day
+  FROM lineitem WHERE year(l_shipdate) = 1997 GROUP BY ALL"""
+ORACLE["time_zone_read"] = """SELECT event_type, COUNT(*) AS n, MAX(event_id) AS last_id FROM events
+  WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-06 00:00:00' GROUP BY ALL"""

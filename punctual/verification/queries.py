@@ -30,7 +30,7 @@ from punctual.plans.quality_suite import SUITE
 from punctual.plans.reports import calendar, overview, pair, star, stations, train_types
 from punctual.schemas import INCIDENT, STATION_ATTRIBUTES, WEATHER, WEATHER_ARCHIVE
 from punctual.session import scratch_dir
-from punctual.sources import day_files, lake, landing
+from punctual.sources import day_files, files, lake, landing
 from punctual.sources import sample_tables as sample
 from punctual.sources.manifest import Manifest
 from punctual.sources.tables import Warehouse
@@ -390,9 +390,9 @@ def snapshot_read(spark: SparkSession, folder: str) -> DataFrame:
     lines = _lines(spark, folder)
     half = F.col("l_orderkey") % 2 == 0
     manifest = _manifest(spark, [lines.where(half), lines.where(~half)], "ship_year")
-    numbers = [row.snapshot_id for row in manifest.snapshots("lines").collect()]
+    numbers = [row.number for row in manifest.snapshots("lines").collect()]
     first, second = [
-        manifest.read_snapshot(n).agg(
+        manifest.read_snapshot("lines", n).agg(
             F.lit(i + 1).alias("snapshot"), F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")
         )
         for i, n in enumerate(numbers)
@@ -400,6 +400,56 @@ def snapshot_read(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def snapshot_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches, then a year that is gone: files and rows of each snapshot."""
+    lines, root = _lines(spark, folder), scratch_dir(spark, "log")
+    manifest = Manifest(spark, f"{root}/manifest")
+    manifest.register_dataset("lines", "Order lines", f"{root}/data")
+    for batch in range(3):
+        own = lines.where(F.col("l_orderkey") % 3 == batch).repartition("ship_year")  # a file for each year
+        own.write.mode("append").partitionBy("ship_year").parquet(f"{root}/data")
+        manifest.register_files("lines")
+    files.delete(spark, [f"{root}/data/ship_year=1996"])
+    manifest.register_files("lines", operation="DELETE")
+    return manifest.snapshots("lines").select("number", "operation", "files", "rows")
+
+
+def rewritten_file_read(spark: SparkSession, folder: str) -> DataFrame:
+    """A year's files are written anew in place, ten years later, and not registered: a read
+    of the later range finds them."""
+    lines, root = _lines(spark, folder), scratch_dir(spark, "rewritten")
+    manifest = Manifest(spark, f"{root}/manifest")
+    manifest.register_dataset("lines", "Order lines", f"{root}/data")
+    lines.repartition("ship_year").write.partitionBy("ship_year").parquet(f"{root}/data")
+    manifest.register_files("lines", stats=["l_shipdate"])
+    year = f"{root}/data/ship_year=1997"
+    later = spark.read.parquet(year).withColumn("l_shipdate", F.add_months("l_shipdate", 120))
+    later.coalesce(1).write.parquet(f"{root}/later")
+    written = files.list_files(spark, f"{root}/later/part-*").head().path
+    files.rename(spark, written, files.list_files(spark, f"{year}/part-*").head().path)
+    rows = manifest.read_range("lines", "l_shipdate", "2007-01-01", "2007-12-31")
+    return rows.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.max("l_shipdate").alias("last_day"))
+
+
+def time_zone_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges of instants, registered in one session time zone and used in another."""
+    root, zone = scratch_dir(spark, "zones"), "spark.sql.session.timeZone"
+    events = sample.table(spark, folder, "events")
+    instants = events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    days = instants.withColumn("day", F.to_date("at")).repartition("day")
+    days.write.partitionBy("day").parquet(f"{root}/data")
+    manifest = Manifest(spark, f"{root}/manifest")
+    manifest.register_dataset("events", "Events", f"{root}/data")
+    before = spark.conf.get(zone)
+    try:
+        spark.conf.set(zone, "Asia/Tokyo")
+        manifest.register_files("events", stats=["at"])
+    finally:
+        spark.conf.set(zone, before)
+    rows = manifest.read_range("events", "at", "2024-01-05 00:00:00", "2024-01-06 00:00:00")
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id"))
+
+
 # lake
 
 
@@ -641,6 +691,9 @@ QUERIES: dict[str, Query] = {
     "file_stats": file_stats,
     "pruned_read": pruned_read,
     "snapshot_read": snapshot_read,
+    "snapshot_log": snapshot_log,
+    "rewritten_file_read": rewritten_file_read,
+    "time_zone_read": time_zone_read,
     # lake
     "lake_cold_days": lake_cold_days,
     "lake_archive_summary": lake_archive_summary,

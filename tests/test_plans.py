@@ -17,7 +17,7 @@ from punctual.sources.tables import Warehouse
 from punctual.verification.queries import registered, stored_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built", "stored", "gold"}
+WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built", "stored", "gold", "rewritten", "time"}
 
 
 def plan(df):
