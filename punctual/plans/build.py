@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,7 @@ BRONZE, SILVER, STATE, GOLD = "bronze", "silver", "states", "gold"
 TRAINS, BRONZE_STATIONS = "train_departures", "stations"
 TESTS, REPORT = "tests", "results"
 LOADS, COVERAGE = "load_runs", "coverage_record"
+WRITERS = 4  # tables written side by side
 
 
 @dataclass(frozen=True)
@@ -91,24 +95,33 @@ def build_gold(warehouse: Warehouse, since: dt.date | None = None, oldest: dt.da
         for layer, names in ((STATE, STATES), (GOLD, BY_DAY)):
             for name in names:
                 warehouse.drop_days_before(oldest, layer, name)
-    read = lambda name: warehouse.read_days(STATE, name)
-    for name, merge in MERGED.items():
-        warehouse.overwrite(merge(read), GOLD, name)
-    stations = warehouse.read(SILVER, STATIONS)
-    warehouse.overwrite(station_performance(read, stations), GOLD, STATION_ROLLUP)
+    states = {name: warehouse.read_days(STATE, name) for name in STATES}
+    tables = {name: merge(states.get) for name, merge in MERGED.items()}
+    tables[STATION_ROLLUP] = station_performance(states.get, warehouse.read(SILVER, STATIONS))
+    _all([partial(warehouse.overwrite, table, GOLD, name) for name, table in tables.items()])
+
+
+def _all(writes: list[Callable[[], object]]) -> None:
+    """Run writes of different tables, a few at a time: each is a small job that leaves most
+    of a cluster idle. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
 
 
 def refresh_states(warehouse: Warehouse, since: dt.date | None = None) -> None:
     """Replace the states, and the gold tables by day, of the days from `since` on. A table
     that is not there yet, say after an update of this library, is made from all days."""
     fact = warehouse.read_days(SILVER, FACT)
+    writes = []
     for layer, tables in ((STATE, STATES), (GOLD, BY_DAY)):
         for name, state in tables.items():
             if since is None or not warehouse.has(layer, name):
-                warehouse.overwrite_days(state(fact), layer, name)
+                writes.append(partial(warehouse.overwrite_days, state(fact), layer, name))
             else:
                 window = fact.where(F.col("departureDate") >= F.lit(since))
-                warehouse.replace_days(state(window), layer, name, since)
+                writes.append(partial(warehouse.replace_days, state(window), layer, name, since))
+    _all(writes)
 
 
 def stored_marts(warehouse: Warehouse) -> Marts:

@@ -124,8 +124,8 @@ class Manifest:
         known = self._state(dataset_id, before).select("path", "size", "modified", "folder", "rows")
         identity = ["path", "size", "modified"]
         # names of new files only; what is scanned and what is written are then the same files
-        new = listed.join(known, identity, "left_anti").collect()
-        gone = known.join(listed, identity, "left_anti")
+        new = (listed.join(known, identity, "left_anti") if before.number else listed).collect()
+        gone = known.join(listed, identity, "left_anti") if before.number else known
         after = replace(
             before,
             number=before.number + 1,
@@ -202,8 +202,8 @@ class Manifest:
         if not paths:
             return self.spark.createDataFrame([], commit.entry_schema())
         entries = self.spark.read.schema(commit.entry_schema()).parquet(*paths)
-        if len(paths) == 1 and commit.state_files:
-            return entries
+        if len(paths) == 1:  # a whole state, or the first changes
+            return entries.where("added")
         # a rewritten file is removed and added in one commit
         last = F.max_by(F.struct(*entries.columns), F.struct("number", "added")).alias("last")
         return entries.groupBy("path").agg(last).select("last.*").where("added")
