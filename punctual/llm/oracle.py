@@ -44,4 +44,18 @@ WITH pieces AS (
 SELECT lang, rank::INTEGER AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """
 
-ORACLE: dict[str, str] = {"op11_collocations": OP11}
+OP4 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS terms FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.terms, c.terms)::BIGINT AS score
+    FROM vectors q, vectors c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {"op4_block_search": OP4, "op11_collocations": OP11}

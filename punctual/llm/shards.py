@@ -3,8 +3,10 @@
 Rows are ordered by a hash of their text, then by a hash of their id, so equal texts are
 neighbours. For each wanted splitter the bytes below a set of candidate boundaries are
 counted exactly; the interval that holds the splitter is probed again until it holds a
-single text. A splitter goes to the end of that text which is nearer, and into the group of
-copies only if both ends are further off than the tolerance. Rows then move once.
+single text. A splitter goes to the end of that text which is nearer, so equal texts stay
+together; only a group of copies that is larger than a shard is split, between ids. So a
+shard is off the mean by less than its own size, and by little where no group is large. Rows
+then move once.
 
 Only (key, size) pairs are read again and again, each time those inside the intervals. The
 driver holds the probes: shards times `PROBES` counts.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from punctual.llm.common import Scratch, text_or_empty
 
-SHARDS, TOLERANCE, PROBES = 8, 0.01, 64
+SHARDS, PROBES = 8, 64
 #: Keys are whole numbers below this.
 KEYS = 1 << 60
 #: Rows that one task numbers, about.
@@ -91,7 +93,7 @@ def locate(rows: DataFrame, column: str, targets: list[float]) -> list[Group]:
     return [found[i] for i in range(len(targets))]
 
 
-def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
+def splitters(rows: DataFrame, shards: int = SHARDS) -> list[tuple[int, int]]:
     """(key, tie) of the first row of each shard but the first; needs `key`, `tie`, `size`."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     if not total:
@@ -99,7 +101,7 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     targets = [total * i / shards for i in range(1, shards)]
     firsts = []
     for target, group in zip(targets, locate(rows, "key", targets), strict=True):
-        if min(target - group.below, group.upto - target) > tolerance * total / shards:
+        if group.upto - group.below > total / shards:
             copies = rows.where(F.col("key") == group.value)
             row = locate(copies, "tie", [target - group.below])[0]
             nearer = row.value + int(target - group.below - row.below > row.upto - target + group.below)
@@ -116,16 +118,14 @@ def shard_of(firsts: list[tuple[int, int]]) -> Column:
     return shard
 
 
-def sharded(
-    rows: DataFrame, scratch: Scratch, shards: int = SHARDS, tolerance: float = TOLERANCE
-) -> DataFrame:
+def sharded(rows: DataFrame, scratch: Scratch, shards: int = SHARDS) -> DataFrame:
     """`rows` (as of `keyed`) with `shard` and `slot`, gapless from 0 in each shard.
 
     Slots run through bins of each shard; the exact row counts of the bins give the first
     slot of each, so no task sees a whole shard.
     """
     keys = scratch.store(rows.select("key", "tie", "size"), "keys")
-    shard = shard_of(splitters(keys, shards, tolerance)).alias("shard")
+    shard = shard_of(splitters(keys, shards)).alias("shard")
     bins = max(1, -(-keys.count() // (shards * NUMBERED)))
     bin_of = F.pmod(F.xxhash64("key", "tie"), F.lit(bins)).alias("bin")
     before = Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
