@@ -114,16 +114,18 @@ def _reference_result(df: DataFrame, table: str, test: ReferenceTest, tables: di
 
 
 def run_tests(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> DataFrame:
-    """One result row per test for every table that is in both maps."""
+    """One result row per declared test. A table that a test needs and that is not there is an
+    error: a test that cannot run has not passed."""
+    needed = {*suite, *(t.table for tests in suite.values() for t in tests.references)}
+    if absent := sorted(needed - set(tables)):
+        raise KeyError(f"no table for the tests of {', '.join(absent)}")
     results = []
     for table, tests in suite.items():
-        if table not in tables:
-            continue
         df = tables[table]
         if tests.rows:
             results.append(_row_results(df, table, tests.rows))
         results += [_unique_result(df, table, t) for t in tests.unique]
-        results += [_reference_result(df, table, t, tables) for t in tests.references if t.table in tables]
+        results += [_reference_result(df, table, t, tables) for t in tests.references]
     return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failures") == 0)
 
 

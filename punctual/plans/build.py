@@ -22,6 +22,7 @@ from punctual.sources.tables import Warehouse
 
 BRONZE, SILVER, STATE, GOLD = "bronze", "silver", "states", "gold"
 TRAINS, BRONZE_STATIONS = "train_departures", "stations"
+UNNESTED = "timetable_unnested"
 TESTS, REPORT = "tests", "results"
 LOADS, COVERAGE = "load_runs", "coverage_record"
 WRITERS = 4  # tables written side by side
@@ -134,9 +135,11 @@ def stored_marts(warehouse: Warehouse) -> Marts:
 
 
 def stored_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
+    trains = warehouse.read_days(BRONZE, TRAINS)
     tables = {
         BRONZE_STATIONS: warehouse.read(BRONZE, BRONZE_STATIONS),
-        TRAINS: warehouse.read_days(BRONZE, TRAINS),
+        TRAINS: trains,
+        UNNESTED: silver.timetable_unnested(trains),
         FACT: warehouse.read_days(SILVER, FACT),
         STATIONS: warehouse.read(SILVER, STATIONS),
     }

@@ -58,6 +58,19 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file; what follows is not read, but for one buffer."""
+    target, fs = _hadoop(spark, path)
+    jvm = spark.sparkContext._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(target)
+    stream = fs.open(target)
+    try:
+        text = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """A small file that is there whole or not at all; False if there is one already."""
     target, fs = _hadoop(spark, path)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.sources import files
 
+READERS = 16  # first lines read at a time
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType | None = None) -> DataFrame:
     """CSV with a header. With a schema nothing is inferred; the files must then have
     its column order, which the header is checked against."""
     reader = spark.read.option("header", True)
@@ -19,34 +23,49 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
     return reader.schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
-def _headers(spark: SparkSession, pattern: str) -> DataFrame:
-    """The first line of every file that matches: path, header."""
-    block = F.col("_metadata")
-    lines = spark.read.text(pattern).where(block["file_block_start"] == 0)
-    numbered = lines.select(block["file_path"].alias("path"), "value", F.monotonically_increasing_id().alias("n"))
-    return numbered.groupBy("path").agg(F.min_by("value", "n").alias("header"))
+def _headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """The files that match, by their first line. Of each file only that line is read."""
+    paths = sorted(row.path for row in files.list_files(spark, pattern).select("path").collect())
+    with ThreadPoolExecutor(READERS) as pool:
+        headers = list(pool.map(partial(files.first_line, spark), paths))
+    found: dict[str, list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        found.setdefault(header, []).append(path)
+    return found
+
+
+def _columns(spark: SparkSession, headers: list[str]) -> dict[str, list[str]]:
+    """Column names of each header, as the CSV parser splits it."""
+    width = max(h.count(",") for h in headers) + 1
+    rows = spark.createDataFrame([(h,) for h in headers], "header string")
+    parsed = F.from_csv("header", ", ".join(f"c{i} string" for i in range(width))).alias("names")
+    return {r.header: [c for c in r.names if c is not None] for r in rows.select("header", parsed).collect()}
 
 
 def read_csv_by_name(spark: SparkSession, pattern: str, types: dict[str, str]) -> DataFrame:
     """CSV files whose columns may differ in order or be missing, aligned by name.
 
-    Spark aligns the files of one CSV read by position. So one job finds the header of
-    every file, the files are grouped by header, each group is read at once with its own
-    column order, and the groups are united by name. `types` gives the type of every
-    wanted column; the driver holds file names and headers only.
+    Spark aligns the files of one CSV read by position. So the first line of every file is
+    read, the files are grouped by it, each group is read at once with its own column order,
+    and the groups are united by name. `types` gives the type of every wanted column; the
+    driver holds file names and headers only.
     """
-    if not files.exists(spark, pattern):
+    by_header = _headers(spark, pattern)
+    if not by_header:
         raise FileNotFoundError(pattern)
-    by_header: dict[str, list[str]] = {}
-    for row in _headers(spark, pattern).orderBy("path").collect():
-        by_header.setdefault(row.header, []).append(row.path)
+    names = _columns(spark, list(by_header))
     parts = []
     for header, paths in by_header.items():
-        columns = [c.strip().strip('"') for c in header.split(",")]
-        schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in columns)
-        parts.append(read_csv(spark, paths, schema).select(*[c for c in columns if c in types]))
+        columns = names[header]
+        schema = T.StructType([T.StructField(c, _parsed_type(types.get(c, "string"))) for c in columns])
+        wanted = [F.col(f"`{c.replace('`', '``')}`") for c in columns if c in types]
+        parts.append(read_csv(spark, paths, schema).select(*wanted))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return united.select(*[c for c in types if c in united.columns])
+    return united.select(*[f"`{c.replace('`', '``')}`" for c in types if c in united.columns])
+
+
+def _parsed_type(text: str) -> T.DataType:
+    return T.StructType.fromDDL(f"c {text}")[0].dataType
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:

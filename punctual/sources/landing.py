@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual import schemas
 from punctual.plans.bronze import SOURCE_PATH
@@ -14,7 +15,7 @@ from punctual.sources import files
 from punctual.sources.day_files import DAY_FILES, DAY_PATTERN, day_of
 
 DAY = "departureDate"
-CORRUPT = "_corrupt_record"
+CORRUPT, BAD = "_corrupt_record", "_unreadable"
 QUARANTINE = "quarantine"
 PLAIN_DAY_FILES = "train_departure_date/*/*/*.json"
 
@@ -88,11 +89,20 @@ def bad_files(rows: DataFrame) -> DataFrame:
     return unreadable.groupBy(SOURCE_PATH).agg(F.count(F.lit(1)).alias("n_bad"))
 
 
-def split_readable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_readable(rows: DataFrame, parsed: str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the files with an unreadable record. Every row of such a file is
-    held back: half a file is not a day."""
-    bad = bad_files(rows)
-    return rows.join(bad, SOURCE_PATH, "left_anti").drop(CORRUPT), bad
+    held back: half a file is not a day.
+
+    The files are parsed once: rows go to the folder `parsed`, unreadable ones apart, and both
+    results come from there.
+    """
+    rows.withColumn(BAD, F.col(CORRUPT).isNotNull()).write.partitionBy(BAD).parquet(parsed)
+    # the schema is known, also where one of the parts is empty
+    schema = T.StructType([*rows.schema.fields, T.StructField(BAD, T.BooleanType())])
+    kept = rows.sparkSession.read.schema(schema).parquet(parsed)
+    bad = kept.where(F.col(BAD)).groupBy(SOURCE_PATH).agg(F.count(F.lit(1)).alias("n_bad"))
+    good = kept.where(~F.col(BAD)).join(bad, SOURCE_PATH, "left_anti")
+    return good.drop(CORRUPT, BAD), bad
 
 
 def unreadable_files(spark: SparkSession, root: str) -> DataFrame:

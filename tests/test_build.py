@@ -8,7 +8,7 @@ from punctual.plans import build
 from punctual.plans.build import BuildOptions, run_daily, stored_marts
 from punctual.plans.reports import overview, star, stations, train_types
 from punctual.sources.tables import Warehouse
-from punctual.streaming.reload import load_new_days
+from punctual.streaming.reload import Ledger, load_new_days
 
 TODAY = dt.date(2024, 1, 10)
 
@@ -164,6 +164,21 @@ def test_new_column_is_appended(spark, tmp_path):
     assert warehouse.days("bronze", "t") == [day(1), day(0)]
 
 
+def test_a_batch_that_comes_again_changes_nothing(spark, site, tmp_path):
+    staging, root = site
+    warehouse = Warehouse(spark, root)
+    load_new_days(spark, str(staging.root), warehouse, str(tmp_path / "check"), "r", max_files=2)
+    ledger = Ledger(warehouse, str(tmp_path / "check"))
+    entered = sorted((r.batch_id, len(r.days)) for r in ledger.loaded().collect())
+    assert sum(n for _, n in entered) == 5 and max(n for _, n in entered) == 2
+    state, calls = warehouse.pointer(build.BRONZE, build.TRAINS), []
+    ledger.once(lambda batch: calls.append(batch) or [])(spark.range(1), entered[0][0])
+    assert calls == [] and warehouse.pointer(build.BRONZE, build.TRAINS) == state
+    other = Ledger(warehouse, "another stream")
+    other.once(lambda batch: calls.append(batch) or [])(spark.range(1), 0)
+    assert len(calls) == 1
+
+
 def test_stream_loads_new_files_once(spark, site, tmp_path):
     staging, root = site
     warehouse = Warehouse(spark, root)

@@ -26,6 +26,22 @@ def test_csv_files_are_aligned_by_name(spark, tmp_path):
     assert [r.city for r in lake_queries.cold_days(weather).collect()] == ["Helsinki"]
 
 
+def test_a_quoted_comma_in_a_column_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"wind, max",city\n7.5,Oulu\n')
+    (tmp_path / "b.csv").write_text('city,"wind, max"\nTurku,3.5\n')
+    got = lake.read_csv_by_name(spark, f"{tmp_path}/*.csv", {"city": "string", "wind, max": "double"})
+    assert sorted(tuple(r) for r in got.collect()) == [("Oulu", 7.5), ("Turku", 3.5)]
+
+
+def test_of_a_header_only_its_first_bytes_are_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 500_000)
+    jvm = spark.sparkContext._jvm
+    read = lambda: sum(s.getBytesRead() for s in jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    assert lake._headers(spark, f"{tmp_path}/*.csv") == {"x,y": [f"file:{tmp_path}/a.csv"]}
+    assert read() - before < 100_000
+
+
 def test_large_csv_files_have_one_header_each(spark, tmp_path):
     """A file read in several blocks still has one header."""
     for name, header, row in (("a", "x,y", "{0},1"), ("b", "y,x", "2,{0}")):

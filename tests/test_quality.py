@@ -38,7 +38,10 @@ def test_uniqueness(tables):
 
 def test_references(tables):
     assert results(tables, references=[ReferenceTest("v", "known")]) == {"references(v, known)": 1}
-    assert results(tables, rows=[not_null("v")], references=[ReferenceTest("v", "absent")]) == {"not_null(v)": 0}
+    with pytest.raises(KeyError, match="absent"):
+        results(tables, rows=[not_null("v")], references=[ReferenceTest("v", "absent")])
+    with pytest.raises(KeyError, match="t"):
+        run_tests({"known": tables["known"]}, {"t": TableTests(rows=[not_null("k")])})
 
 
 def test_severity(tables):
