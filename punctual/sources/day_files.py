@@ -18,7 +18,8 @@ from punctual.sources import files
 
 # How a finished day file is named.
 DAY_PATTERN = r"(\d{4}-\d{2}-\d{2})\.json(\.gz)?$"
-DAY_FILES = "train_departure_date/*/*/*.json*"
+DAY_FOLDER = "train_departure_date"
+DAY_FILES = f"{DAY_FOLDER}/*/*/*.json*"
 
 
 class NoInputError(Exception):

@@ -738,3 +738,24 @@ ORACLE["rewritten_file_read"] = """SELECT CAST(l_linenumber AS BIGINT) AS l_line
   FROM lineitem WHERE year(l_shipdate) = 1997 GROUP BY ALL"""
 ORACLE["time_zone_read"] = """SELECT event_type, COUNT(*) AS n, MAX(event_id) AS last_id FROM events
   WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-06 00:00:00' GROUP BY ALL"""
+
+# raw day files: odd days plain, even days gzipped
+ORACLE["day_files_unnested"] = ORACLE["nest_unnest_roundtrip"]
+ORACLE["day_files_streamed"] = ORACLE["streamed_from_landing"]
+ORACLE["lake_incident_arrays"] = ORACLE["lake_weather_incidents"]
+ORACLE["day_files_window"] = f"""{N_TRAINS} SELECT {DEPARTURE_TEXT}, COUNT(*) AS trains,
+    strftime("departureDate", 'train_departure_date/%Y/%m/%Y-%m-%d.json')
+      || CASE WHEN day("departureDate") % 2 = 0 THEN '.gz' ELSE '' END AS _source_file
+  FROM trains WHERE "departureDate" >= DATE '2024-01-22' GROUP BY "departureDate" """
+ORACLE["day_files_versions"] = f"""{N_TRAINS} SELECT {DEPARTURE_TEXT}, COUNT(*) AS trains,
+    CAST(2 - day("departureDate") % 2 AS BIGINT) AS version,
+    COUNT(*) FILTER (WHERE cancelled AND day("departureDate") % 2 = 1) AS cancelled
+  FROM trains GROUP BY "departureDate" """
+ORACLE["station_dimension"] = """SELECT
+    CASE s_suppkey % 3 WHEN 0 THEN 'Major Station' WHEN 1 THEN 'Stopping Point' ELSE 'Turnout' END AS station_type_label,
+    CASE WHEN s_acctbal > 0 THEN 'Passenger Service' ELSE 'No Passenger Service' END AS passenger_service_label,
+    CASE s_suppkey % 4 WHEN 0 THEN 'Helsinki Region' WHEN 1 THEN 'Tampere Region' ELSE 'Other Region' END AS region,
+    COUNT(*) AS stations,
+    COUNT(DISTINCT CASE s_suppkey % 4 WHEN 0 THEN 'HKI' WHEN 1 THEN 'TPE' ELSE CAST(s_suppkey AS VARCHAR) END) AS codes,
+    MAX(60 + s_nationkey / 10) AS north
+  FROM supplier GROUP BY ALL"""

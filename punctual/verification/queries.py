@@ -9,14 +9,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctual.functions import surrogate_key
 from punctual.operators.latest import latest_per_key
 from punctual.operators.quality import ReferenceTest, TableTests, run_tests
-from punctual.plans import gold, lake_queries, silver
+from punctual.plans import bronze, gold, lake_queries, silver
 from punctual.plans.build import (
     BRONZE,
     GOLD,
@@ -35,7 +35,7 @@ from punctual.sources import day_files, files, lake, landing
 from punctual.sources import sample_tables as sample
 from punctual.sources.manifest import Manifest
 from punctual.sources.tables import Warehouse
-from punctual.streaming.reload import load_landed_days
+from punctual.streaming.reload import load_landed_days, load_new_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,12 +231,106 @@ def streamed_from_landing(spark: SparkSession, folder: str) -> DataFrame:
     load_landed_days(spark, f"{root}/landed", warehouse, f"{root}/checkpoint", "run")
     landing.land(trains.where(F.col("departureDate") >= F.lit(RELOAD_FROM)), f"{root}/landed")
     load_landed_days(spark, f"{root}/landed", warehouse, f"{root}/checkpoint", "run")
-    loaded = warehouse.read_days(BRONZE, TRAINS)
-    return loaded.groupBy("departureDate").agg(
+    return _per_day(warehouse.read_days(BRONZE, TRAINS))
+
+
+# raw day files
+
+
+def _write_day_files(rows: DataFrame, value: Column, path_of: Callable[[str], str], compress: bool) -> None:
+    """One file per day, as the raw layout has them: `value` is an array of the day's rows."""
+    spark = rows.sparkSession
+    staged = scratch_dir(spark, "day-files")
+    arrays = rows.groupBy("day").agg(F.to_json(F.array_sort(F.collect_list(value))).alias("text"))
+    arrays.write.partitionBy("day").option("compression", "gzip" if compress else "none").text(staged)
+    for found in files.list_files(spark, f"{staged}/*/part-*").collect():
+        day = found.path.split("/day=", 1)[1].split("/", 1)[0]
+        files.rename(spark, found.path, path_of(day))
+
+
+def _staging(spark: SparkSession, folder: str) -> str:
+    """The trains of shape N as day files, odd days plain and even days gzipped; a file that is
+    not finished yet, and one that is no day file."""
+    root = scratch_dir(spark, "staging")
+    trains = sample.nested_trains(spark, folder).withColumn("day", F.col("departureDate"))
+    value = F.struct(*[c for c in trains.columns if c != "day"])
+    at = lambda day: f"{root}/{day_files.DAY_FOLDER}/{day[:4]}/{day[5:7]}/{day}.json"
+    odd = F.day("day") % 2 == 1
+    _write_day_files(trains.where(odd), value, at, compress=False)
+    _write_day_files(trains.where(~odd), value, lambda day: f"{at(day)}.gz", compress=True)
+    files.write_new(spark, f"{at('2024-01-03')}.part", "[{")
+    files.write_new(spark, at("notes"), "[{")
+    return root
+
+
+def day_files_unnested(spark: SparkSession, folder: str) -> DataFrame:
+    trains = bronze.train_departures(day_files.read_trains(spark, _staging(spark, folder)), "run")
+    return _per_type(silver.fact_timetable_events(silver.timetable_unnested(trains)))
+
+
+def _per_day(trains: DataFrame) -> DataFrame:
+    return trains.groupBy("departureDate").agg(
         F.count(F.lit(1)).alias("trains"), F.sum(F.size("timeTableRows")).alias("timetable_rows")
     )
 
 
+def day_files_window(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest days only, with the file that each train came from."""
+    trains = day_files.read_trains(spark, _staging(spark, folder), RELOAD_FROM)
+    loaded = bronze.train_departures(trains, "run")
+    return loaded.groupBy("departureDate", "_source_file").agg(F.count(F.lit(1)).alias("trains"))
+
+
+def day_files_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Even days come plain too, with a version more and no train cancelled: that one counts."""
+    root = _staging(spark, folder)
+    trains = sample.nested_trains(spark, folder).withColumn("day", F.col("departureDate"))
+    again = trains.withColumns({"version": F.col("version") + 1, "cancelled": F.lit(False)})
+    value = F.struct(*[c for c in trains.columns if c != "day"])
+    at = lambda day: f"{root}/{day_files.DAY_FOLDER}/{day[:4]}/{day[5:7]}/{day}.json"
+    _write_day_files(again.where(F.day("day") % 2 == 0), value, at, compress=False)
+    loaded = bronze.train_departures(day_files.read_trains(spark, root), "run")
+    return loaded.groupBy("departureDate", "version").agg(
+        F.count(F.lit(1)).alias("trains"), F.count_if("cancelled").alias("cancelled")
+    )
+
+
+def day_files_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    root = scratch_dir(spark, "stream")
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    load_new_days(spark, _staging(spark, folder), warehouse, f"{root}/checkpoint", "run", max_files=20)
+    return _per_day(warehouse.read_days(BRONZE, TRAINS))
+
+
+def station_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """Stations from their raw array file to the dimension."""
+    root = scratch_dir(spark, "stations")
+    suppliers = sample.supplier_stations(spark, folder).withColumn("day", F.lit("stations"))
+    place = F.col("stationUICCode") % 4
+    code = F.when(place == 0, "HKI").when(place == 1, "TPE").otherwise(F.col("stationShortCode"))
+    row = F.struct(
+        code.alias("stationShortCode"),
+        *["stationName", "stationUICCode", "latitude", "longitude", "passengerTraffic", "type"],
+        F.lit("FI").alias("countryCode"),
+    )
+    _write_day_files(suppliers, row, lambda _: f"{root}/{bronze.STATION_SOURCE}", compress=False)
+    loaded = bronze.stations(day_files.read_stations(spark, root), "run")
+    dimension = silver.dim_stations(loaded)
+    labels = ["station_type_label", "passenger_service_label", "region"]
+    return dimension.groupBy(*labels).agg(
+        F.count(F.lit(1)).alias("stations"), F.countDistinct("sk_station").alias("codes"), F.max("latitude").alias("north")
+    )
+
+
+def lake_incident_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Incidents as JSON arrays, one file per day."""
+    root = scratch_dir(spark, "arrays")
+    incidents = sample.incidents(spark, folder)
+    days = incidents.withColumn("day", F.col("date"))
+    _write_day_files(days, F.struct(*incidents.columns), lambda day: f"{root}/{day}.json", compress=False)
+    return lake_queries.weather_incidents(lake.read_json_array(spark, root, INCIDENT))
+
+
 # loading, retention, quarantine
 
 
@@ -679,6 +773,11 @@ QUERIES: dict[str, Query] = {
     "raw_train_statistics": raw_train_statistics,
     "built_from_landing": built_from_landing,
     "streamed_from_landing": streamed_from_landing,
+    "day_files_unnested": day_files_unnested,
+    "day_files_window": day_files_window,
+    "day_files_versions": day_files_versions,
+    "day_files_streamed": day_files_streamed,
+    "station_dimension": station_dimension,
     "reload_idempotent": reload_idempotent,
     "retention_delete": retention_delete,
     "schema_append": schema_append,
@@ -699,6 +798,7 @@ QUERIES: dict[str, Query] = {
     "lake_cold_days": lake_cold_days,
     "lake_archive_summary": lake_archive_summary,
     "lake_weather_incidents": lake_weather_incidents,
+    "lake_incident_arrays": lake_incident_arrays,
     "lake_join_csv_parquet": lake_join_csv_parquet,
     "lake_temperature_anomaly": lake_temperature_anomaly,
     "lake_incident_share": lake_incident_share,

@@ -12,12 +12,13 @@ from punctual.operators.latest import latest_per_key
 from punctual.plans import build, gold, states
 from punctual.plans.marts import Marts
 from punctual.plans.reports import pair, star, train_types
+from punctual.sources import landing
 from punctual.sources import sample_tables as sample
 from punctual.sources.tables import Warehouse
 from punctual.verification.queries import registered, stored_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
-WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built", "stored", "gold", "rewritten", "time"}
+WRITES_TABLES = {"reload", "retention", "schema", "quarantine", "file", "pruned", "snapshot", "lake", "built", "stored", "gold", "rewritten", "time", "day", "station"}
 
 
 def plan(df):
@@ -95,6 +96,18 @@ def test_a_reload_rewrites_one_day_of_each_roll_up(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(departureDate" in plan(states.delay_counts(window))
 
 
+def test_quarantine_parses_json_once(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.json").write_text('{"n": 1}\n{"n": \n')
+    (tmp_path / "raw" / "b.json").write_text('{"n": 2}\n')
+    rows = landing.read_permissive(spark, str(tmp_path / "raw"), "n int", multi_line=False)
+    good, bad = landing.split_readable(rows, str(tmp_path / "parsed"))
+    for part in (good, bad):
+        assert "Scan json" not in plan(part)
+    assert [r.n for r in good.collect()] == [2]
+    assert [r.n_bad for r in bad.collect()] == [1]
+
+
 def test_newest_version_is_kept_before_the_shuffle(spark):
     lines = sample.table(spark, FOLDER, "lineitem")
     text = initial(latest_per_key(lines, ["l_orderkey"], [F.desc("l_partkey")]))
