@@ -47,6 +47,12 @@ HEADLINE = [
     "dq_report",
     "pruned_read",
     "lake_weather_punctuality",
+    "gold_reload",
+    "stored_otp_by_scope",
+    "stored_period_metrics",
+    "stored_rush_hour",
+    "stored_weekend_summary",
+    "stored_rankings_range",
 ]
 
 
