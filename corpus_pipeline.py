@@ -55,7 +55,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: SQL cannot express the stages; tests hold them against brute force.
+#: SQL cannot express the stages; tests/llm check what each of them keeps and packs.
 ORACLE_SQL = None
 
 

@@ -82,19 +82,12 @@ def _on_lineitem(
     *args,
     train_type: bool = False,
     category: bool = False,
-    stored: bool = False,
     **kwargs,
 ) -> Query:
-    """A report over shape L; only the joins it needs are made. A report that reads the
-    fact several times gets it stored, so that the joins run once."""
+    """A report over shape L; only the joins it needs are made."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        rows = sample.lineitem_rows(spark, folder, train_type, category)
-        if stored:
-            path = scratch_dir(spark, "fact")
-            rows.write.parquet(path)
-            rows = spark.read.schema(rows.schema).parquet(path)
-        fact = silver.with_event_attributes(rows)
+        fact = sample.lineitem_fact(spark, folder, train_type, category)
         return report(Marts.from_fact(fact, sample.supplier_stations(spark, folder)), *args, **kwargs)
 
     return query
@@ -751,7 +744,7 @@ QUERIES: dict[str, Query] = {
     "top_performers": _on_events(train_types.top_performers),
     "consistency_median": _on_events(train_types.consistency),
     "consistency_median_star": _on_lineitem(
-        train_types.consistency, train_type=True, category=True, stored=True
+        train_types.consistency, train_type=True, category=True
     ),
     "category_versus": _on_events(train_types.category_comparison),
     "category_pivot": _on_events(train_types.category_pivot),

@@ -36,7 +36,6 @@ def eager(name):
     return name.split("_")[0] in WRITES_TABLES or name in {
         "raw_train_statistics",
         "streamed_from_landing",
-        "consistency_median_star",
     }
 
 
