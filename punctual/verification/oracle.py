@@ -266,6 +266,24 @@ SUMMARY = """SELECT station_code, ROUND(AVG(temp_avg_c), 2) AS avg_temp,
   ROUND(AVG(precipitation_mm), 2) AS avg_precip, COUNT(*) AS days FROM archive GROUP BY station_code"""
 
 
+def _test_row(table: str, test: str, failures: str, severity: str = "error") -> str:
+    text = test.replace("'", "''")
+    return f"""SELECT '{table}' AS table_name, '{text}' AS test, '{severity}' AS severity,
+      ({failures}) AS failures, ({failures}) = 0 AS passed"""
+
+
+def _test_bad(table: str, source: str, test: str, condition: str, severity: str = "error") -> str:
+    return _test_row(table, test, f"SELECT COUNT(*) FILTER (WHERE {condition}) FROM {source}", severity)
+
+
+def _test_repeated(table: str, source: str, test: str, keys: str) -> str:
+    return _test_row(table, test, f"SELECT COUNT(*) FROM (SELECT {keys} FROM {source} GROUP BY ALL HAVING COUNT(*) > 1)")
+
+
+def _test_nulls(table: str, source: str, columns: list[str], severity: str = "error") -> list[str]:
+    return [_test_bad(table, source, f"not_null({c})", f'"{c}" IS NULL', severity) for c in columns]
+
+
 def _data_tests() -> str:
     """One SELECT per declared test of the four tables."""
     tables = f"""{E}, daily AS (
@@ -274,20 +292,7 @@ def _data_tests() -> str:
     ), histogram AS (SELECT "trainType", delay_minutes, {MEASURES} FROM ev GROUP BY ALL),
     spans AS ({_spans()})"""
 
-    def row(table: str, test: str, failures: str, severity: str = "error") -> str:
-        text = test.replace("'", "''")
-        return f"""SELECT '{table}' AS table_name, '{text}' AS test, '{severity}' AS severity,
-          ({failures}) AS failures, ({failures}) = 0 AS passed"""
-
-    def bad(table: str, source: str, test: str, condition: str, severity: str = "error") -> str:
-        return row(table, test, f"SELECT COUNT(*) FILTER (WHERE {condition}) FROM {source}", severity)
-
-    def repeated(table: str, source: str, test: str, keys: str) -> str:
-        return row(table, test, f"SELECT COUNT(*) FROM (SELECT {keys} FROM {source} GROUP BY ALL HAVING COUNT(*) > 1)")
-
-    def nulls(table: str, source: str, columns: list[str], severity: str = "error") -> list[str]:
-        return [bad(table, source, f"not_null({c})", f'"{c}" IS NULL', severity) for c in columns]
-
+    bad, repeated, nulls, row = _test_bad, _test_repeated, _test_nulls, _test_row
     agree = "on_time_events <= events AND delay_count <= events"
     identity = "delay_count = CASE WHEN delay_minutes IS NULL THEN 0 ELSE events END"
     order = "first_actual_bucket <= last_actual_bucket AND n_trains >= 1"
@@ -759,3 +764,49 @@ ORACLE["station_dimension"] = """SELECT
     COUNT(DISTINCT CASE s_suppkey % 4 WHEN 0 THEN 'HKI' WHEN 1 THEN 'TPE' ELSE CAST(s_suppkey AS VARCHAR) END) AS codes,
     MAX(60 + s_nationkey / 10) AS north
   FROM supplier GROUP BY ALL"""
+
+
+def _more_data_tests() -> str:
+    """One SELECT per declared test of four more roll-ups."""
+    station = ["departureDate", "trainType", "stationShortCode"]
+    hour = ["departureDate", "trainType", "scheduled_hour", "delay_category"]
+    coverage = ["departureDate", "trainType", "trainCategory"]
+    category = ["scheduled_hour", "trainType", "trainCategory", "delay_category"]
+    names = lambda columns: ", ".join(f'"{c}"' for c in columns)
+    labels = "delay_category NOT IN ('early', 'on_time', 'slightly_late', 'late', 'very_late', 'unknown')"
+    times = "time_of_day_category NOT IN ('morning_rush', 'off_peak', 'evening_rush')"
+    agree, other = "on_time_events <= events AND delay_count <= events", """ "trainType" NOT IN ('IC', 'HDM')"""
+    tables = f"""{E}, by_station AS (SELECT {names(station)}, {MEASURES} FROM ev WHERE {PAIR} GROUP BY ALL),
+      by_hour AS (SELECT {names(hour)}, {MEASURES} FROM ev WHERE {PAIR} GROUP BY ALL),
+      coverage AS (SELECT {names(coverage)}, COUNT(*) AS events FROM fact GROUP BY ALL),
+      hours AS (SELECT {names(category)}, time_of_day_category, {MEASURES} FROM ev GROUP BY ALL)"""
+    unique = lambda table, source, keys: _test_repeated(table, source, f"unique_combination({', '.join(keys)})", names(keys))
+    tests = [
+        *_test_nulls("pair_station_daily", "by_station", ["departureDate", "trainType"]),
+        *_test_nulls("pair_station_daily", "by_station", ["stationShortCode"], "warn"),
+        _test_bad("pair_station_daily", "by_station", "accepted_values(trainType)", other),
+        unique("pair_station_daily", "by_station", station),
+        *_test_nulls("pair_hourly_daily", "by_hour", ["departureDate", "trainType", "delay_category"]),
+        _test_bad("pair_hourly_daily", "by_hour", "accepted_values(trainType)", other),
+        _test_bad("pair_hourly_daily", "by_hour", "accepted_values(delay_category)", labels),
+        unique("pair_hourly_daily", "by_hour", hour),
+        *_test_nulls("timetable_coverage", "coverage", ["departureDate", "events"]),
+        unique("timetable_coverage", "coverage", coverage),
+        *_test_nulls("hourly_delay_categories", "hours", ["time_of_day_category", "delay_category", "events"]),
+        *_test_nulls("hourly_delay_categories", "hours", ["scheduled_hour", "trainType", "trainCategory"], "warn"),
+        _test_bad("hourly_delay_categories", "hours", "accepted_values(time_of_day_category)", times),
+        _test_bad("hourly_delay_categories", "hours", "accepted_values(delay_category)", labels),
+        _test_bad("hourly_delay_categories", "hours", f"expression({agree})", f"NOT ({agree})"),
+        unique("hourly_delay_categories", "hours", category),
+    ]
+    return f"{tables} " + " UNION ALL ".join(tests)
+
+
+ORACLE["dq_more"] = _more_data_tests()
+ORACLE["dq_unnested"] = f"{N} " + " UNION ALL ".join(
+    _test_bad("timetable_unnested", "fact", f"not_null({name})", f'"{column}" IS NULL')
+    for name, column in (
+        *((c, c) for c in ("trainNumber", "departureDate", "stationShortCode")),
+        ("scheduledTime", "scheduled_time"),
+    )
+)

@@ -417,6 +417,19 @@ def data_test_report(spark: SparkSession, folder: str) -> DataFrame:
     return run_tests(tables, suite)
 
 
+def more_data_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared tests of four more roll-ups, over the stored tables."""
+    marts = stored_marts(stored_warehouse(spark, folder))
+    names = ("pair_station_daily", "pair_hourly_daily", "timetable_coverage", "hourly_delay_categories")
+    return run_tests({n: marts[n] for n in names}, {n: SUITE[n] for n in names})
+
+
+def unnested_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared tests of the timetable rows before they become events."""
+    rows = silver.timetable_unnested(sample.nested_trains(spark, folder))
+    return run_tests({"timetable_unnested": rows}, {"timetable_unnested": SUITE["timetable_unnested"]})
+
+
 def reference_test(spark: SparkSession, folder: str) -> DataFrame:
     """Events whose station is not a known one: suppliers without passengers go by a code
     that no event has."""
@@ -780,6 +793,8 @@ QUERIES: dict[str, Query] = {
     "missing_days": missing_days,
     "dq_report": data_test_report,
     "dq_references": reference_test,
+    "dq_more": more_data_tests,
+    "dq_unnested": unnested_tests,
     # manifest
     "file_stats": file_stats,
     "pruned_read": pruned_read,
