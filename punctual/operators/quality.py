@@ -30,11 +30,13 @@ class RowTest:
 @dataclass(frozen=True)
 class UniqueTest:
     """Fails on every combination of columns that occurs more than once. With
-    `skip_nulls`, a NULL is never a duplicate; otherwise NULL equals NULL."""
+    `skip_nulls`, a NULL is never a duplicate; otherwise NULL equals NULL. `within_day`
+    declares that rows of different days never share a key, say because it is made from the day."""
 
     columns: tuple[str, ...]
     skip_nulls: bool = False
     severity: str = ERROR
+    within_day: bool = False
 
     @property
     def name(self) -> str:
@@ -108,17 +110,27 @@ def _reference_result(df: DataFrame, table: str, test: ReferenceTest, tables: di
     # counted per key first: the join then sees each key once, hot or not
     counts = df.where(F.col(test.column).isNotNull()).groupBy(test.column).count()
     known = tables[test.table].select(test.column).distinct()
+    return missing_keys(counts, known, table, test)
+
+
+def missing_keys(counts: DataFrame, known: DataFrame, table: str, test: ReferenceTest) -> DataFrame:
+    """The result of a reference test, from rows per key (`count`) and the known keys."""
     missing = counts.join(known, test.column, "left_anti")
     failures = F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("failures")
     return _result(missing.agg(failures), table, test.name, test.severity)
 
 
-def run_tests(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> DataFrame:
-    """One result row per declared test. A table that a test needs and that is not there is an
-    error: a test that cannot run has not passed."""
+def require_tables(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> None:
+    """A table that a test needs and that is not there is an error: a test that cannot run has
+    not passed."""
     needed = {*suite, *(t.table for tests in suite.values() for t in tests.references)}
     if absent := sorted(needed - set(tables)):
         raise KeyError(f"no table for the tests of {', '.join(absent)}")
+
+
+def run_tests(tables: dict[str, DataFrame], suite: dict[str, TableTests]) -> DataFrame:
+    """One result row per declared test."""
+    require_tables(tables, suite)
     results = []
     for table, tests in suite.items():
         df = tables[table]

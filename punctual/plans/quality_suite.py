@@ -64,7 +64,8 @@ SUITE: dict[str, TableTests] = {
             accepted_values("event_type", EVENT_TYPES),
             DELAY_LABELS,
         ],
-        unique=[UniqueTest(("sk_event",), skip_nulls=True)],
+        # the key is made from the day among others
+        unique=[UniqueTest(("sk_event",), skip_nulls=True, within_day=True)],
         references=[ReferenceTest("stationShortCode", "dim_stations")],
     ),
     "dim_stations": TableTests(

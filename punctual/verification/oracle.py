@@ -810,3 +810,7 @@ ORACLE["dq_unnested"] = f"{N} " + " UNION ALL ".join(
         ("scheduledTime", "scheduled_time"),
     )
 )
+ORACLE["dq_by_day"] = f"""
+  SELECT * FROM ({ORACLE["dq_report"]}) WHERE table_name IN ('fact_timetable_events', 'train_spans')
+  UNION ALL SELECT * FROM ({ORACLE["dq_more"]}) WHERE table_name <> 'hourly_delay_categories'
+  UNION ALL SELECT 'fact_timetable_events', * EXCLUDE (table_name) FROM ({ORACLE["dq_references"]})"""

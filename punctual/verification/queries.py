@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 from punctual.functions import surrogate_key
 from punctual.operators.latest import latest_per_key
 from punctual.operators.quality import ReferenceTest, TableTests, run_tests
-from punctual.plans import bronze, gold, lake_queries, silver
+from punctual.plans import bronze, daily_tests, gold, lake_queries, silver
 from punctual.plans.build import (
     BRONZE,
+    DAY_SOURCES,
     GOLD,
     SILVER,
     TRAINS,
@@ -430,6 +431,29 @@ def unnested_tests(spark: SparkSession, folder: str) -> DataFrame:
     return run_tests({"timetable_unnested": rows}, {"timetable_unnested": SUITE["timetable_unnested"]})
 
 
+def tests_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared tests of the tables by day, from stored results: the first run sees half of
+    the events of the newest days, the second one tests those days again and no other."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "tests"))
+    fact = sample.event_fact(spark, folder)
+    parts = ["trainNumber", "departureDate", "stationShortCode", "event_type", "scheduled_time"]
+    fact = fact.withColumn("sk_event", surrogate_key(*parts))
+    code = F.concat(F.when(F.col("passengerTraffic"), "").otherwise("closed-"), "stationShortCode")
+    known = sample.supplier_stations(spark, folder).withColumn("stationShortCode", code)
+    warehouse.overwrite(sample.supplier_stations(spark, folder), SILVER, STATIONS)
+    newest = F.col("departureDate") >= F.lit(RELOAD_FROM)
+    names = [name for name, (layer, _) in DAY_SOURCES.items() if layer != BRONZE]
+    suite, sources = {n: SUITE[n] for n in names}, {n: DAY_SOURCES[n] for n in names}
+    warehouse.overwrite_days(fact.where(~newest | (F.col("trainNumber") % 2 == 0)), SILVER, FACT)
+    for since in (None, RELOAD_FROM):
+        if since is not None:
+            warehouse.replace_days(fact.where(newest), SILVER, FACT, since)
+        build_gold(warehouse, since)
+        tables = {n: warehouse.read(*sources[n]) for n in names}
+        daily_tests.refresh(warehouse, tables, sources, suite)
+    return daily_tests.report(warehouse, tables | {STATIONS: known}, suite)
+
+
 def reference_test(spark: SparkSession, folder: str) -> DataFrame:
     """Events whose station is not a known one: suppliers without passengers go by a code
     that no event has."""
@@ -795,6 +819,7 @@ QUERIES: dict[str, Query] = {
     "dq_references": reference_test,
     "dq_more": more_data_tests,
     "dq_unnested": unnested_tests,
+    "dq_by_day": tests_by_day,
     # manifest
     "file_stats": file_stats,
     "pruned_read": pruned_read,

@@ -2,9 +2,10 @@ import datetime as dt
 
 import pytest
 from builders import timetable_row, train
+from pyspark.sql import functions as F
 
-from punctual.operators.quality import DataTestError
-from punctual.plans import build
+from punctual.operators.quality import DataTestError, TableTests, UniqueTest, not_null, run_tests
+from punctual.plans import build, daily_tests
 from punctual.plans.build import BuildOptions, run_daily, stored_marts
 from punctual.plans.reports import overview, star, stations, train_types
 from punctual.sources.tables import Warehouse
@@ -192,3 +193,61 @@ def test_stream_loads_new_files_once(spark, site, tmp_path):
     staging.write(day(4), [train(5, day(4), rows_on(day(4)))])  # too late
     load()
     assert per_day(spark, root, build.BRONZE, build.TRAINS) == counts | {day(-1): 1}
+
+
+def outcomes(report):
+    return {(r.table_name, r.test): (r.severity, r.failures, r.passed) for r in report.collect()}
+
+
+def test_results_by_day_are_those_of_whole_tables(spark, site):
+    staging, root = site
+    warehouse = Warehouse(spark, root)
+    odd = [train(i, day(1), rows_on(day(1)), trainCategory="Ferry") for i in (1, 2)]
+    staging.write(day(1), odd)
+    for files in (
+        [train(3, day(0), [timetable_row("NEW", "ARRIVAL", dt.datetime.combine(day(0), dt.time(9)))])],
+        [train(3, day(0), rows_on(day(0)), operatorShortCode="x")],
+    ):
+        staging.write(day(0), files, compress=True)
+        report = outcomes(run_daily(spark, str(staging.root), root, options()))
+        assert report == outcomes(run_tests(build.stored_tables(warehouse), build.SUITE))
+        assert report["train_departures", "accepted_values(trainCategory)"] == ("warn", 2, False)
+
+
+def test_only_changed_days_are_tested(spark, site):
+    staging, root = site
+    run_daily(spark, str(staging.root), root, options())
+    warehouse = Warehouse(spark, root)
+    tables = build.stored_tables(warehouse)
+    by_day = {n: build.SUITE[n] for n in build.DAY_SOURCES}
+    mine = {n: tables[n] for n in by_day}
+    assert daily_tests.refresh(warehouse, mine, build.DAY_SOURCES, by_day) == set()
+
+    kept = warehouse.pointer("tests", daily_tests.RESULTS).folders
+    trains = warehouse.read(build.BRONZE, build.TRAINS).where(F.col("departureDate") == F.lit(day(3)))
+    warehouse.replace_days(trains.withColumn("trainCategory", F.lit("Ferry")), build.BRONZE, build.TRAINS)
+    warehouse.drop_days_before(day(3), build.BRONZE, build.TRAINS)
+    mine = {n: t for n, t in build.stored_tables(warehouse).items() if n in by_day}
+    assert daily_tests.refresh(warehouse, mine, build.DAY_SOURCES, by_day) == {str(day(3)), str(day(4))}
+    now = warehouse.pointer("tests", daily_tests.RESULTS).folders
+    changed = (str(day(3)), str(day(4)))
+    assert {f for f in kept if not f.endswith(changed)} == {f for f in now if not f.endswith(changed)}
+    found = outcomes(daily_tests.report(warehouse, build.stored_tables(warehouse), by_day))
+    assert found["train_departures", "accepted_values(trainCategory)"] == ("warn", 2, False)
+
+    stricter = by_day | {build.TRAINS: TableTests(rows=[not_null("trainNumber")])}
+    assert daily_tests.refresh(warehouse, mine, build.DAY_SOURCES, stricter) is None  # another suite
+
+
+def test_rows_without_a_day_and_repeats_show(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    rows = spark.createDataFrame([(1, day(1)), (1, day(1)), (2, None), (2, None), (3, day(0))], "n int, departureDate date")
+    suite = {"t": TableTests(rows=[not_null("departureDate")], unique=[UniqueTest(("departureDate", "n"))])}
+    for _ in range(2):
+        warehouse.replace_days(rows, "bronze", "t")
+        table = {"t": warehouse.read("bronze", "t")}
+        daily_tests.refresh(warehouse, table, {"t": ("bronze", "t")}, suite)
+        assert outcomes(daily_tests.report(warehouse, table, suite)) == outcomes(run_tests(table, suite))
+    across = {"t": TableTests(unique=[UniqueTest(("n",))])}
+    with pytest.raises(ValueError, match="across days"):
+        daily_tests.refresh(warehouse, table, {"t": ("bronze", "t")}, across)
