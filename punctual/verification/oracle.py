@@ -810,6 +810,56 @@ ORACLE["dq_unnested"] = f"{N} " + " UNION ALL ".join(
         ("scheduledTime", "scheduled_time"),
     )
 )
+
+
+def _other_data_tests() -> str:
+    """One SELECT per declared test of trains, stations, their dimension and four roll-ups."""
+    code = "CASE s_suppkey % 4 WHEN 0 THEN 'HKI' WHEN 1 THEN 'TPE' ELSE CAST(s_suppkey AS VARCHAR) END"
+    tables = f"""{E}, {DIM}, loaded AS (
+      SELECT {code} AS "stationShortCode", s_name AS "stationName", s_suppkey AS "stationUICCode",
+        s_nationkey AS latitude, s_nationkey AS longitude, s_acctbal > 0 AS "passengerTraffic",
+        s_suppkey % 3 AS type, 'FI' AS "countryCode" FROM supplier
+    ), trains AS (
+      SELECT event_id // 64 AS "trainNumber", MIN(CAST(ts AS DATE)) AS "departureDate" FROM events GROUP BY 1
+    ), performance AS (
+      SELECT "stationShortCode" AS station_code FROM ev JOIN dim USING ("stationShortCode") GROUP BY ALL
+    ), scopes AS ({ORACLE["otp_by_scope"]}), pairs AS ({ORACLE["pair_comparison"]}), presence AS ({ORACLE["station_presence"]})"""
+    bad, repeated, nulls = _test_bad, _test_repeated, _test_nulls
+    metadata = ["_loaded_at", "_source_file", "_run_id"]
+    none = lambda table, tests, severity="error": [_test_row(table, t, "SELECT 0", severity) for t in tests]
+    station = ["stationShortCode", "stationName", "stationUICCode", "latitude", "longitude"]
+    presence = ["trainType", "trainCategory", "stationShortCode", "first_actual_bucket"]
+    order = "first_actual_bucket <= last_actual_bucket"
+    presence_key = ", ".join(f'"{c}"' for c in presence)
+    tests = [
+        *nulls("stations", "loaded", [*station, "passengerTraffic", "type", "countryCode"]),
+        *none("stations", [*(f"not_null({c})" for c in metadata), "accepted_values(type)"]),
+        *none("stations", ["accepted_values(countryCode)"], "warn"),
+        repeated("stations", "loaded", "unique(stationShortCode)", '"stationShortCode"'),
+        repeated("stations", "loaded", "unique(stationUICCode)", '"stationUICCode"').replace("'error'", "'warn'"),
+        *none("dim_stations", ["not_null(sk_station)"]),
+        *nulls("dim_stations", "loaded", ["stationShortCode"]),
+        repeated("dim_stations", "loaded", "unique(sk_station)", '"stationShortCode"'),
+        repeated("dim_stations", "loaded", "unique(stationShortCode)", '"stationShortCode"'),
+        *nulls("train_departures", "trains", ["trainNumber", "departureDate"]),
+        *none("train_departures", [f"not_null({c})" for c in ("operatorShortCode", "trainType", "trainCategory")]),
+        *none("train_departures", [f"not_null({c})" for c in ("cancelled", *metadata)]),
+        *none("train_departures", ["accepted_values(trainCategory)"], "warn"),
+        repeated("train_departures", "trains", "unique_combination(trainNumber, departureDate)", '"trainNumber", "departureDate"'),
+        *nulls("on_time_performance", "scopes", ["metric_scope"]),  # events without a type have a scope too
+        *nulls("pair_comparison", "pairs", ["train_type", "on_time_percentage", "performance_verdict"]),
+        bad("pair_comparison", "pairs", "accepted_values(train_type)", "train_type NOT IN ('IC', 'HDM')"),
+        *nulls("station_performance", "performance", ["station_code"]),
+        repeated("station_performance", "performance", "unique(station_code)", "station_code"),
+        *nulls("station_presence", "presence", ["first_actual_bucket", "midnight_days"]),
+        *nulls("station_presence", "presence", ["trainType", "trainCategory", "stationShortCode"], "warn"),
+        bad("station_presence", "presence", f"expression({order})", f"NOT ({order})"),
+        repeated("station_presence", "presence", f"unique_combination({', '.join(presence)})", presence_key),
+    ]
+    return f"{tables} " + " UNION ALL ".join(tests)
+
+
+ORACLE["dq_others"] = _other_data_tests()
 ORACLE["dq_by_day"] = f"""
   SELECT * FROM ({ORACLE["dq_report"]}) WHERE table_name IN ('fact_timetable_events', 'train_spans')
   UNION ALL SELECT * FROM ({ORACLE["dq_more"]}) WHERE table_name <> 'hourly_delay_categories'

@@ -296,8 +296,8 @@ def day_files_streamed(spark: SparkSession, folder: str) -> DataFrame:
     return _per_day(warehouse.read_days(BRONZE, TRAINS))
 
 
-def station_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    """Stations from their raw array file to the dimension."""
+def _loaded_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """The suppliers as stations, from a raw array file."""
     root = scratch_dir(spark, "stations")
     suppliers = sample.supplier_stations(spark, folder).withColumn("day", F.lit("stations"))
     place = F.col("stationUICCode") % 4
@@ -308,8 +308,12 @@ def station_dimension(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("FI").alias("countryCode"),
     )
     _write_day_files(suppliers, row, lambda _: f"{root}/{bronze.STATION_SOURCE}", compress=False)
-    loaded = bronze.stations(day_files.read_stations(spark, root), "run")
-    dimension = silver.dim_stations(loaded)
+    return bronze.stations(day_files.read_stations(spark, root), "run")
+
+
+def station_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """Stations from their raw array file to the dimension."""
+    dimension = silver.dim_stations(_loaded_stations(spark, folder))
     labels = ["station_type_label", "passenger_service_label", "region"]
     return dimension.groupBy(*labels).agg(
         F.count(F.lit(1)).alias("stations"), F.countDistinct("sk_station").alias("codes"), F.max("latitude").alias("north")
@@ -431,6 +435,21 @@ def unnested_tests(spark: SparkSession, folder: str) -> DataFrame:
     return run_tests({"timetable_unnested": rows}, {"timetable_unnested": SUITE["timetable_unnested"]})
 
 
+def other_data_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared tests of trains, stations, the station dimension and four stored roll-ups.
+    Some of the stations share a code, which the uniqueness tests must find."""
+    marts = stored_marts(stored_warehouse(spark, folder))
+    names = ("on_time_performance", "pair_comparison", "station_performance", "station_presence")
+    loaded = _loaded_stations(spark, folder)
+    raw = sample.nested_trains(spark, folder).withColumn(bronze.SOURCE_PATH, F.lit("events"))
+    tables = {n: marts[n] for n in names} | {
+        "stations": loaded,
+        STATIONS: silver.dim_stations(loaded),
+        TRAINS: bronze.train_departures(raw, "run"),
+    }
+    return run_tests(tables, {n: SUITE[n] for n in tables})
+
+
 def tests_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """The declared tests of the tables by day, from stored results: the first run sees half of
     the events of the newest days, the second one tests those days again and no other."""
@@ -819,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "dq_references": reference_test,
     "dq_more": more_data_tests,
     "dq_unnested": unnested_tests,
+    "dq_others": other_data_tests,
     "dq_by_day": tests_by_day,
     # manifest
     "file_stats": file_stats,
