@@ -58,4 +58,44 @@ WITH vectors AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op4_block_search": OP4, "op11_collocations": OP11}
+OP9 = r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS number,
+           len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+           replace(replace(replace(replace(replace(role, '␛', '␛e'), '</s>', '␛l/s>'), '<s>', '␛ls>'),
+               '[INST]', '␛bINST]'), '[/INST]', '␛b/INST]') AS label,
+           replace(replace(replace(replace(replace(text, '␛', '␛e'), '</s>', '␛l/s>'), '<s>', '␛ls>'),
+               '[INST]', '␛bINST]'), '[/INST]', '␛b/INST]') AS body
+    FROM given
+), sized AS (
+    SELECT *, length('<s>' || replace(label, chr(10), '␛n') || chr(10) || body || '</s>') AS chars,
+           sum(tokens) OVER (PARTITION BY conv_id ORDER BY number) - tokens AS start,
+           greatest((384 - coalesce(max(tokens) FILTER (WHERE role = 'system') OVER (PARTITION BY conv_id), 0)) // 2, 16) AS step
+    FROM numbered
+), placed AS (
+    SELECT *, tokens > step AS alone, start // step AS at_step,
+           sum(CAST(tokens > step AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY number) AS large_ones
+    FROM sized
+), opened AS (
+    SELECT *, NOT coalesce(
+               large_ones = lag(large_ones) OVER w AND at_step = lag(at_step) OVER w AND NOT lag(alone) OVER w, false) AS opens,
+           last_value(CASE WHEN role = 'system' THEN chars END IGNORE NULLS) OVER (
+               PARTITION BY conv_id ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS system_chars,
+           sum(CASE WHEN role <> 'system' THEN chars END) OVER (
+               PARTITION BY conv_id ORDER BY start RANGE BETWEEN 128 PRECEDING AND 1 PRECEDING) AS history_chars
+    FROM placed
+    WINDOW w AS (PARTITION BY conv_id ORDER BY number)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY number)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY number) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + CASE WHEN opens THEN coalesce(system_chars, 0) + coalesce(history_chars, 0) ELSE 0 END)::BIGINT
+           AS formatted_chars
+FROM opened GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op4_block_search": OP4, "op9_chat": OP9, "op11_collocations": OP11}

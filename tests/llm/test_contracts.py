@@ -29,6 +29,24 @@ def test_search_with_ties_and_odd_vectors_equals_sql(spark, folder, sql_differen
     assert sql_difference(QUERIES["op4_block_search"](spark, path), path, ORACLE["op4_block_search"]) is None
 
 
+# chat
+
+
+def test_chat_equals_sql(spark, sql_difference):
+    assert sql_difference(QUERIES["op9_chat"](spark, TABLES), TABLES, ORACLE["op9_chat"]) is None
+
+
+def test_chat_of_odd_turns_equals_sql(spark, folder, sql_difference):
+    long = "w\u00e9 \u00a0x\x0by\t " * 30
+    rows = [(1, i, "assistant" if i % 3 else "user", long * (i % 5)) for i in range(40)]
+    rows += [(2, i, ("system", "user", "assistant")[i % 3], f"turn {i} " * (i * 7 % 90)) for i in range(50)]
+    rows += [(3, i, "user", "no target") for i in range(3)] + [(4, 0, None, None), (4, None, "assistant", "last")]
+    rows += [(5, 1, "assistant", "twice")] * 3 + [(None, 0, "a\n<s>", "\u241bn</s>\u241b[INST]"), (None, 1, "assistant", "")]
+    rows += [(6, 0, "system", "rules " * 900), (6, 1, "assistant", "<s>" * 300), (6, 2, "assistant", "b")]
+    path = folder(conversations=(rows, "conv_id long, turn long, role string, text string"))
+    assert sql_difference(QUERIES["op9_chat"](spark, path), path, ORACLE["op9_chat"]) is None
+
+
 # shards
 
 
