@@ -1,5 +1,7 @@
 """Registered queries against SQL, brute force and planted cases."""
 
+import hashlib
+import math
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +11,7 @@ import pytest
 from llm_tables import DOCUMENT, TABLES
 from pyspark.sql import functions as F
 
-from punctual.llm import packing, shards, url_rules
+from punctual.llm import mixing, packing, shards, url_rules
 from punctual.llm.oracle import ORACLE
 from punctual.llm.registry import QUERIES
 
@@ -47,6 +49,81 @@ def test_chat_of_odd_turns_equals_sql(spark, folder, sql_difference):
     assert sql_difference(QUERIES["op9_chat"](spark, path), path, ORACLE["op9_chat"]) is None
 
 
+# mixing
+
+
+def raked(cells, powers):
+    """Weight and probability of each cell of token counts, one step at a time."""
+    total = sum(cells.values())
+    share = {c: n / total for c, n in cells.items() if n}
+    weights = dict.fromkeys(share, 1.0)
+    targets = []
+    for i, power in enumerate(powers):
+        own = Counter()
+        for c, p in share.items():
+            own[c[i]] += p
+        scale = sum(p**power for p in own.values())
+        targets.append({v: p**power / scale for v, p in own.items()})
+    for _ in range(200):
+        for i, target in enumerate(targets):
+            reached = Counter()
+            for c, p in share.items():
+                reached[c[i]] += p * weights[c]
+            weights = {c: w * target[c[i]] / reached[c[i]] for c, w in weights.items()}
+    steps = defaultdict(list)
+    for c, w in weights.items():
+        steps[math.floor(math.log2(w) * 64)].append(c)
+    mass = 0.0
+    for step in sorted(steps, reverse=True):
+        mass += sum(share[c] * weights[c] for c in steps[step])
+        if mass > 0.01:
+            top = max(weights[c] for c in steps[step])
+            break
+    return {c: (w, min(1.0, w / top)) for c, w in weights.items()}
+
+
+def test_mixing_equals_raking_one_step_at_a_time(spark, folder, given):
+    rows = given("documents") + [(7000 + i, t, None, "src1", 0) for i, t in enumerate([None, "", "a b", "a b", "x@y " * 700])]
+    found = QUERIES["op2_mixing"](spark, folder(documents=(rows, DOCUMENT))).collect()
+    texts = defaultdict(list)
+    for r in rows:
+        texts[r[0]].append(r)
+    cells, of = Counter(), {}
+    for doc, text, lang, source, *_ in rows:
+        text = text or ""
+        tokens = text.count(" ") + 1 if text else 0
+        marks = (("icense", "licensed"), ("@", "contact"), ("|", "listing"))
+        topic = next((name for mark, name in marks if mark in text), "long" if tokens >= 500 else "short")
+        of[doc] = (source, lang, topic), tokens
+        cells[source, lang, topic] += tokens
+    weights = raked(cells, (0.8, 0.8, 0.8))
+    assert len(found) == len(rows) == len(of)
+    for r in found:
+        cell, tokens = of[r.doc_id]
+        assert ((r.source, r.lang, r.topic), r.tokens) == (cell, tokens)
+        weight, probability = weights.get(cell, (1.0, 1.0))
+        assert (r.weight, r.probability) == pytest.approx((weight, probability), rel=2e-3)
+        # the hash that decides, by the definition of `chance`
+        own = hashlib.md5((texts[r.doc_id][0][1] or "").encode()).hexdigest()
+        chance = int(hashlib.md5(f"mix-1:{r.doc_id}:{own}".encode()).hexdigest()[:13], 16) / 2**52
+        if abs(chance - probability) > 2e-3:
+            assert r.kept == (chance < probability)
+    kept = sum(r.kept for r in found)
+    assert abs(kept - sum(r.probability for r in found)) < 4 * len(found) ** 0.5
+
+
+def test_contradicting_marginals_end_and_tell(spark, scratch):
+    rows = [("a", "x", "t", 50), ("a", "y", "t", 30), ("b", "y", "t", 15), ("stray", "zz", "t", 5)]
+    frame = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    with pytest.warns(UserWarning, match="off their targets"):
+        out = mixing.rake(frame, scratch, {"source": {"stray": 0.2}, "lang": 1.0, "topic": 1.0}).collect()
+    assert len(out) == 4 and all(0 < r.probability <= 1 for r in out)
+    zero = {r.source_key: r.probability for r in mixing.rake(frame, mixing.Scratch(spark, "zero"), {"source": {"b": 0.0}}).collect()}
+    assert zero["b"] == 0 and zero["a"] > 0
+    with pytest.raises(ValueError, match="source"):
+        mixing.rake(frame, mixing.Scratch(spark, "none"), {"source": {"elsewhere": 1.0}})
+
+
 # shards
 
 
