@@ -52,9 +52,9 @@ BATCH, PAIRS, FEW = 256, 64, 4
 CENTERS = 8
 #: Texts of a block, and pairs of blocks that a Python worker holds at a time, about.
 BLOCK, BLOCKS = 64, 32
-#: Registers in which texts agree that may be links: four standard deviations below the mean
-#: at 0.8, which misses one link in 30,000 there and fewer above.
-AGREEING = int(REGISTERS * THRESHOLD - 4 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+#: Registers in which texts agree that may be links: eight standard deviations below the mean
+#: at 0.8, which misses one link in some 10^11 there (by Chernoff's bound) and fewer above.
+AGREEING = int(REGISTERS * THRESHOLD - 8 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
 #: Text bytes per bucket of runs, about.
 BUCKET = 8 << 20
 #: Runs whose arrivals are drawn at a time, about.
