@@ -52,8 +52,12 @@ BATCH, PAIRS, FEW = 256, 64, 4
 CENTERS = 8
 #: Texts of a block, and pairs of blocks that a Python worker holds at a time, about.
 BLOCK, BLOCKS = 64, 32
-#: Registers in which texts agree that may be links: eight standard deviations below the mean
-#: at 0.8, which misses one link in some 10^11 there (by Chernoff's bound) and fewer above.
+#: Counters of a text's runs by hash. The smaller counts of two texts, summed, are never less
+#: than the runs they share, unless a counter is full.
+COUNTERS = 512
+#: Registers in which texts with a full counter, which are very long, agree if they may be links:
+#: eight standard deviations below the mean at 0.8, which misses one link in some 10^11 there (by
+#: Chernoff's bound) and fewer above.
 AGREEING = int(REGISTERS * THRESHOLD - 8 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
 #: Text bytes per bucket of runs, about.
 BUCKET = 8 << 20
@@ -268,9 +272,16 @@ def _in_several(bucket: int, keys: np.ndarray, extra: np.ndarray, parts: np.ndar
     return ((count > 1) | (np.bincount(at, extra[:, 0], len(own)) > 0)).astype(np.uint8)[at]
 
 
+def counters(runs: np.ndarray) -> np.ndarray:
+    """How many of a text's distinct runs each counter has; 255 is full."""
+    own = np.bincount((runs % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    return np.minimum(own, 255).astype(np.uint8)
+
+
 def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Of each `node` of `texts`: `runs`, its distinct runs; `shared`, those that other texts
-    have too; `spare`, the weight of the others; `plain`, whether no run occurs twice."""
+    have too; `spare`, the weight of the others; `plain`, whether no run occurs twice; `counts`,
+    its counters."""
     raw = texts.select(F.col("node").alias("place"), F.col("text").cast("binary").alias("text"))
     parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts", BATCH)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -287,11 +298,12 @@ def shared_runs(texts: DataFrame, scratch: Scratch) -> DataFrame:
             ends = np.cumsum([len(r) for r, _ in runs])
             for node, (run, weight), end in zip(np.frombuffer(row["ids"], np.int64), runs, ends, strict=True):
                 seen = often[end - len(run) : end]
-                out.append((node, len(run), seen.sum(), weight[~seen].sum() / max(1, weight.sum()), (weight < 2).all()))
-        return pd.DataFrame(out, columns=["node", "runs", "shared", "spare", "plain"])
+                spare = weight[~seen].sum() / max(1, weight.sum())
+                out.append((node, len(run), seen.sum(), spare, (weight < 2).all(), counters(run).tobytes()))
+        return pd.DataFrame(out, columns=["node", "runs", "shared", "spare", "plain", "counts"])
 
     counted = parts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(
-        count, "node long, runs long, shared long, spare double, plain boolean"
+        count, "node long, runs long, shared long, spare double, plain boolean, counts binary"
     )
     return scratch.store(counted, "shared", FEW)
 
@@ -392,15 +404,16 @@ def _cards(rows: pa.StructArray) -> dict[str, np.ndarray]:
     """Columns of a block of texts."""
     found = dict(zip([f.name for f in rows.type], rows.flatten(), strict=True))
     packed = lambda name, kind: np.frombuffer(b"".join(found[name].to_pylist()), kind).reshape(len(rows), -1)
-    plain = {n: c.to_numpy(zero_copy_only=False) for n, c in found.items() if n not in ("keys", "marks")}
+    plain = {n: c.to_numpy(zero_copy_only=False) for n, c in found.items() if n not in ("keys", "marks", "counts")}
     keys = np.stack([np.resize(k, 2 * BANDS) for k in found["keys"].to_numpy(zero_copy_only=False)])
-    return {**plain, "keys": keys, "marks": packed("marks", np.uint8)}
+    return {**plain, "keys": keys, "marks": packed("marks", np.uint8), "counts": packed("counts", np.uint8)}
 
 
 @giving_back
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each pair of blocks, the pairs of texts that may be similar enough: by what they
-    share with anyone, and by their registers. A pair shows up in its first common bucket."""
+    share with anyone, and by their counters, or by their registers if a counter is full. A pair
+    shows up in its first common bucket."""
     for batch in batches:
         out = []
         for at in range(batch.num_rows):
@@ -419,8 +432,12 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = np.nonzero(good & reach)
             common = one["keys"][x] == other["keys"][y]
             first = one["keys"][x, common.argmax(axis=1)] == key
+            x, y = x[first], y[first]
             agree = (one["marks"][x] == other["marks"][y]).sum(axis=1)
-            kept = first & ((agree >= AGREEING) | ~plain[x, y])
+            common = np.minimum(one["counts"][x], other["counts"][y]).sum(axis=1, dtype=np.int64)
+            enough = common >= limit * (one["runs"][x] + other["runs"][y] - common)
+            full = (one["counts"] == 255).any(axis=1)[x] | (other["counts"] == 255).any(axis=1)[y]
+            kept = np.where(full, agree >= AGREEING, enough) | ~plain[x, y]
             out.append(np.stack([one["node"][x[kept]], other["node"][y[kept]]], axis=1))
         pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs.T], names=["a", "b"])
@@ -431,7 +448,8 @@ def remaining_pairs(rows: DataFrame, shared: DataFrame, nodes: DataFrame) -> Dat
     other classes there. Blocks of texts meet; only pairs that may be links leave the task."""
     cards = rows.join(shared, "node").join(nodes.select("node", "keys", "marks"), "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).alias("block")
-    card = F.struct("node", "component", "largest", "runs", "shared", "spare", "plain", "keys", "marks")
+    figures = ("runs", "shared", "spare", "plain", "counts")
+    card = F.struct("node", "component", "largest", *figures, "keys", "marks")
     blocks = lambda some, side: some.groupBy("key", block).agg(F.collect_list(card).alias(side))
     one, other = blocks(cards.where("NOT largest"), "one"), blocks(cards, "other")
     met = one.drop("block").join(other.drop("block"), "key")

@@ -1,17 +1,20 @@
 """Registered queries against SQL, brute force and planted cases."""
 
 import hashlib
+import itertools
 import math
+import random
 import time
 import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from llm_tables import DOCUMENT, TABLES
 from pyspark.sql import functions as F
 
-from punctual.llm import mixing, packing, shards, url_rules
+from punctual.llm import mixing, near_dups, packing, shards, url_rules
 from punctual.llm.oracle import ORACLE
 from punctual.llm.registry import QUERIES
 
@@ -31,6 +34,43 @@ def test_search_with_ties_and_odd_vectors_equals_sql(spark, folder, sql_differen
     assert sql_difference(QUERIES["op4_block_search"](spark, path), path, ORACLE["op4_block_search"]) is None
 
 
+# near-duplicates
+
+
+def test_classes_of_many_variants_equal_all_pairs(spark, folder):
+    pick = random.Random(3)
+    texts = []
+    for base in range(3):
+        words = [f"w{base}x{i}" for i in range(260)]
+        for change in range(0, 50):
+            own = list(words)
+            for at in pick.sample(range(260), change // 6):
+                own[at] = f"other{pick.random()}"
+            texts.append(" ".join(own))
+    texts += [texts[0], None, "", " ".join(f"b{i % 70}" for i in range(700))]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.class_id for r in QUERIES["op5_near_duplicates"](spark, folder(documents=(rows, DOCUMENT))).collect()}
+    runs = [near_dups.shingles(t or "") for t in texts]
+    class_of = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        same = (texts[i] or "") == (texts[j] or "")
+        if class_of[i] != class_of[j] and (same or near_dups.similarity(runs[i], runs[j]) >= 0.8):
+            low, high = sorted((class_of[i], class_of[j]))
+            class_of = [low if c == high else c for c in class_of]
+    assert found == dict(enumerate(class_of))
+    assert 4 < len(set(class_of)) < len(texts)
+
+
+def test_counters_never_hide_shared_runs():
+    pick = np.random.default_rng(4)
+    for n in (3, 400, 50_000):
+        own = np.unique(pick.integers(0, 2**63, n).astype(np.uint64))
+        other = np.unique(np.append(own[: n // 2], pick.integers(0, 2**63, n // 3).astype(np.uint64)))
+        counts = near_dups.counters(own), near_dups.counters(other)
+        full = any((c == 255).any() for c in counts)
+        assert full or np.minimum(*counts).sum(dtype=int) >= len(np.intersect1d(own, other))
+
+
 # chat
 
 
