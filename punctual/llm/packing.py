@@ -2,14 +2,17 @@
 
 A document's ids, and an end id, are cut into full windows of the largest tier; each is a
 sequence. What is left, the rest, stays whole and is routed to the smallest tier that holds
-it. A rest that fills its tier exactly is a sequence of that context size. The others are
-packed tier by tier into long windows: those of the largest tier open windows, and the gaps
-are filled from ever shorter tiers, each rest into the fullest window that still takes it.
-Sequences of one context size are then dealt into step groups of near equal attention cost.
+it. A rest that fills its tier exactly is a sequence of that context size. Rests of the largest
+tier open long windows, and the gaps are filled from ever shorter tiers, each rest into the
+fullest window that still takes it. What no gap takes is packed tier by tier into windows of its
+own tier, from the largest to the smallest: a rest and the one of its tier or a shorter one that
+fills the window to its end. Since a short window that is not full would be padded to the largest
+tier, rests without such a partner go into long windows like those before. Sequences of one
+context size are then dealt into step groups of near equal attention cost.
 
 Texts are tokenized once, in Arrow batches, where also the checksum of each piece is taken;
-only lengths move. Rests are packed in groups of about `GROUP` documents, dealt by hash, so
-no task holds more. Ids are those of the `tokenizers` vocabulary file; `tiktoken` with the same
+only lengths move. Pieces are packed in groups of about `GROUP`, dealt by hash and place in the
+stored table, so no task holds more, however long a text or often a row is. Ids are those of the `tokenizers` vocabulary file; `tiktoken` with the same
 vocabulary gives the same ids several times faster. Texts on which it does not are left to
 `tokenizers` itself: those with the string of an added token, and those with runs of white space
 that `tiktoken` would take time for that grows with their square. Strings of added tokens are taken as those tokens, as `tokenizers` does unless
@@ -101,31 +104,71 @@ def _pieces(batches: Iterator[pa.RecordBatch], ranks_path: str, window: int, spe
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
-def pack(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number and offset of each piece; no sequence exceeds the largest tier.
+class Windows:
+    """Open windows of one size by the gap that is left in them."""
+
+    def __init__(self, size: int):
+        self.size, self.by_gap = size, [[] for _ in range(size + 1)]
+        #: has a bit for each gap that a window has
+        self.gaps = 0
+
+    def put(self, piece: int, own: int, gap: int) -> int:
+        """The offset of a piece put into a gap of window `own`."""
+        left = gap - piece
+        if left:
+            self.by_gap[left].append(own)
+            self.gaps |= 1 << left
+        return self.size - gap
+
+    def fullest(self, piece: int) -> tuple[int, int] | None:
+        """The window with the least gap that takes the piece, and that gap."""
+        fitting = self.gaps >> piece
+        if not fitting:
+            return None
+        gap = piece + (fitting & -fitting).bit_length() - 1
+        own = self.by_gap[gap].pop()
+        if not self.by_gap[gap]:
+            self.gaps ^= 1 << gap
+        return own, gap
+
 
-    From the longest piece to the shortest, so tier by tier; `gaps` has a bit for each gap
-    size that an open window has.
-    """
-    window = tiers[-1]
+def pack(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence number and offset of each piece; no sequence exceeds the largest tier."""
+    window, half = tiers[-1], tiers[-2] if len(tiers) > 1 else 0
     sequence, offset = np.empty(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    by_gap: list[list[int]] = [[] for _ in range(window + 1)]
-    gaps, opened = 0, 0
+    long, opened = Windows(window), 0
+    #: pieces of each size that no gap of the largest tier takes
+    waiting: list[list[int]] = [[] for _ in range(window + 1)]
+
+    def into_long(i: int, opens: bool) -> bool:
+        nonlocal opened
+        size = int(lengths[i])
+        found = long.fullest(size)
+        if found is None:
+            if not opens:
+                return False
+            found, opened = (opened, window), opened + 1
+        sequence[i], offset[i] = found[0], long.put(size, *found)
+        return True
+
     for i in np.argsort(-lengths, kind="stable").tolist():
         size = int(lengths[i])
-        fitting = 0 if size in tiers else gaps >> size
-        if fitting:
-            gap = size + (fitting & -fitting).bit_length() - 1
-            own = by_gap[gap].pop()
-            if not by_gap[gap]:
-                gaps ^= 1 << gap
-        else:
-            own, gap, opened = opened, window, opened + 1
-        sequence[i], offset[i] = own, window - gap
-        left = gap - size
-        if left and size not in tiers:
-            by_gap[left].append(own)
-            gaps |= 1 << left
+        if size in tiers:
+            sequence[i], opened = opened, opened + 1
+        elif not into_long(i, size > half):
+            waiting[size].append(i)
+
+    for tier in reversed(tiers[:-1]):
+        for size in range(tier - 1, (tier - 1) // 2, -1):
+            ones, others = waiting[size], waiting[tier - size]
+            while ones and others and (ones is not others or len(ones) > 1):
+                for i, at in ((ones.pop(), 0), (others.pop(), size)):
+                    sequence[i], offset[i] = opened, at
+                opened += 1
+
+    for own in reversed(waiting):
+        for i in own:
+            into_long(i, True)
     return sequence, offset
 
 
@@ -161,8 +204,10 @@ def packed(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     pieces = texts.mapInArrow(lambda batches: _pieces(batches, ranks_path, tiers[-1], special), PIECE)
     pieces = scratch.store(pieces, "pieces", TEXTS)
-    groups = max(1, -(-documents.count() // GROUP))
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(groups)))
+    groups = max(1, -(-pieces.count() // GROUP))
+    # the place in the stored table tells repeated rows apart, and is the same for a task that runs again
+    number = F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id())
+    dealt = pieces.withColumn("group", F.pmod(number, F.lit(groups)))
 
     def pack_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return _pack_group(key, group, tiers)

@@ -308,3 +308,41 @@ def test_pipeline_packs_every_id_of_what_it_keeps_once(spark, folder, given):
                 assert at == total
     assert kept == sorted(kept[:4], reverse=True) + kept[4:] and kept[3] > 0
     assert corpus_pipeline.run(spark, path).count() == kept[4]
+
+
+def padding(sequence, lengths):
+    filled = np.bincount(sequence, lengths).astype(int)
+    return int(sum(2048 - n for n in filled if n & (n - 1)))
+
+
+@pytest.mark.parametrize("most", [300, 700, 2049])
+def test_tiers_get_full_windows_of_their_own(most):
+    pick = np.random.default_rng(most)
+    lengths = np.append(pick.integers(1, most, 4000), [2048] * 20)
+    sequence, offset = packing.pack(lengths)
+    filled = np.bincount(sequence, lengths).astype(int)
+    assert filled.max() <= 2048 and (filled > 0).all()
+    order = np.lexsort((offset, sequence))
+    new = np.append(True, np.diff(sequence[order]) > 0)
+    ends = offset[order] + lengths[order]
+    assert (offset[order] == np.where(new, 0, np.append(0, ends[:-1]))).all()
+    pieces = np.bincount(sequence)
+    if most < 1024:
+        # every long window is full but for a few, though short ones took pieces away
+        assert padding(sequence, lengths) < 0.004 * lengths.sum()
+        assert sum(((filled == t) & (pieces > 1)).sum() for t in (256, 512, 1024)) > 100
+    # with one tier there are only long windows
+    plain, _ = packing.pack(lengths, (2048,))
+    assert padding(sequence, lengths) <= padding(plain, lengths) + 2048
+
+
+def test_copies_of_one_row_are_dealt_over_groups(spark, documents, scratch, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "GROUP", 50)
+    rows = documents([(7, "the same row")] * 400 + [(None, None), (8, "x " * 9000)])
+    found = packing.packed(rows, scratch, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
+    assert len({r.sequence_id >> 32 for r in found if r.doc_id == 7}) > 4
+    assert Counter(r.doc_id for r in found)[7] == 400 and sum(r.doc_id is None for r in found) == 1
+    own = sorted((r.start, r.length, r.doc_tokens) for r in found if r.doc_id == 8)
+    assert sum(length for _, length, _ in own) == own[0][2]
