@@ -14,7 +14,7 @@ import pytest
 from llm_tables import DOCUMENT, TABLES
 from pyspark.sql import functions as F
 
-from punctual.llm import mixing, near_dups, packing, shards, url_rules
+from punctual.llm import mixing, near_dups, packing, quality, shards, url_rules
 from punctual.llm.oracle import ORACLE
 from punctual.llm.registry import QUERIES
 
@@ -346,3 +346,67 @@ def test_copies_of_one_row_are_dealt_over_groups(spark, documents, scratch, monk
     assert Counter(r.doc_id for r in found)[7] == 400 and sum(r.doc_id is None for r in found) == 1
     own = sorted((r.start, r.length, r.doc_tokens) for r in found if r.doc_id == 8)
     assert sum(length for _, length, _ in own) == own[0][2]
+
+
+# quality
+
+
+def plain_score(model, text):
+    """The score of one text, all pairs of features one at a time."""
+    raw = (text or "").encode()
+    words = raw.split()
+    x = Counter()
+    for bucket, n in Counter(zlib.crc32(w) % quality.BUCKETS for w in words).items():
+        x[bucket] = math.log1p(n)
+    size = math.sqrt(sum(v * v for v in x.values()))
+    x = {i: v / size for i, v in x.items()}
+    if words:
+        sentence, n = b"!,.?", len(words)
+        kinds = [
+            lambda b: 65 <= b <= 90,
+            lambda b: 48 <= b <= 57,
+            lambda b: b in b"\t ",
+            lambda b: b in b"\n\r",
+            lambda b: b in sentence,
+            lambda b: 33 <= b < 127 and not chr(b).isalnum() and b not in sentence,
+        ]
+        figures = [sum(map(kind, raw)) / len(raw) for kind in kinds]
+        lines, hashes = raw.split(b"\n"), [zlib.crc32(w) for w in words]
+        figures += [math.log1p(n) / 10, min(1.0, len(raw) / n / 20), len(set(hashes)) / n]
+        figures += [sum(a == b for a, b in itertools.pairwise(hashes)) / (n - 1) if n > 1 else 0.0]
+        figures += [len(set(lines)) / len(lines), sum(w.isupper() for w in words) / n]
+        figures += [sum(w[-1] < 128 and not chr(w[-1]).isalnum() for w in words) / n]
+        x |= {quality.BUCKETS + i: v for i, v in enumerate(figures)}
+    margin = model.bias + sum(float(model.linear[i]) * v for i, v in x.items())
+    for (i, v), (j, w) in itertools.combinations(x.items(), 2):
+        margin += float(model.factors[i].astype(float) @ model.factors[j].astype(float)) * v * w
+    return 1 / (1 + math.exp(-margin))
+
+
+def test_quality_query_equals_pairs_one_at_a_time(spark, folder, given):
+    rows = [r[:5] for r in given("documents")][:150]
+    rows += [(7000, None, "en", "s", 0), (7001, "", None, None, 0), (7002, "ONE", "en", "s", 0), (7003, rows[0][1], "en", "s", 0)]
+    labels = [r for r in given("labels") if r[0] in {d[0] for d in rows}]
+    path = folder(documents=(rows, DOCUMENT), labels=([r[:3] for r in labels], LABEL))
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{path}/labels.parquet"))
+    found = QUERIES["op3_quality"](spark, path).collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for r in found:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert r.predicted == int(r.score >= 0.3)
+        if len(texts[r.doc_id] or "") < 6000:
+            assert r.score == pytest.approx(plain_score(model, texts[r.doc_id]), abs=2e-4)
+
+
+def test_pipeline_keeps_what_the_query_on_quality_keeps(spark, folder, given):
+    rows = given("documents") + [(7000, None, "en", "src0", 0), (7001, "", None, None, 0)]
+    path = folder(documents=(rows, DOCUMENT), labels=(given("labels"), LABEL))
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    name, stage = corpus_pipeline.STAGES[0]
+    kept = stage(spark, docs, path)
+    judged = QUERIES["op3_quality"](spark, path).collect()
+    assert name == "quality classifier" and kept.columns == docs.columns
+    texts = {r[0]: r[1] for r in rows}
+    assert {r.doc_id: r.text for r in kept.collect()} == {r.doc_id: texts[r.doc_id] for r in judged if r.predicted}
