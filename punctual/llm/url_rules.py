@@ -7,9 +7,14 @@ combination, so a URL meets only the rules of its own rare tokens, and the rest
 combination is checked there.
 
 Tokens that stand on exactly the same labelled pages are one item: a rule has all of them
-(closed sets), and copies of a long URL make one item instead of all subsets of its words. Of
-the items on enough pages, a page takes the `ITEMS` rarest to the mining, so it has 2^`ITEMS`
-combinations at most; this bounds what is searched, whatever the length of a URL.
+(closed sets), and copies of a long URL make one item instead of all subsets of its words.
+
+No combination is left out. Items that are always among the `ITEMS` rarest of their page go
+through FP-growth, with 2^`ITEMS` combinations of a page at most. Combinations with any other
+item, a wide one, grow item by item in joins over the pages that hold them (`wide_rules`).
+There a combination ends where a longer one can add nothing: below the pages or bad pages of
+a rule, at confidence 1, or on the same pages as a part of it. What blocks a URL, and with
+which confidence, is as if all combinations were listed.
 
 Defined cases. Null URL or one without `://`: empty host and path, no tokens, so the
 method allows it. Null labels count as good. No labelled pages, or none that are bad: no
@@ -19,6 +24,7 @@ mined rules. Repeated rows: judged alike. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
@@ -49,8 +55,10 @@ LISTED = [
 #: A mined rule needs so many labelled pages, this confidence, and a share of bad pages that
 #: lies so many standard errors above that of all pages.
 MIN_PAGES, MIN_CONFIDENCE, DEVIATIONS = 20, 0.6, 4.0
-#: Items of a page that combinations are made of.
+#: Items of a page that FP-growth makes combinations of.
 ITEMS = 10
+#: Marks of wide and other items, which sort the wide ones first.
+WIDE, OTHER = "0", "1"
 
 
 def with_host_and_path(pages: DataFrame) -> DataFrame:
@@ -108,6 +116,74 @@ def _items(baskets: DataFrame, min_pages: int) -> DataFrame:
     return sets.select("item", "members", "pages")
 
 
+def _certain(pages: Column, rate: float) -> Column:
+    """Whether `confidence` on so many pages lies far enough above the share of bad pages."""
+    return F.col("confidence") >= rate + DEVIATIONS * F.sqrt(F.lit(rate * (1 - rate)) / pages)
+
+
+def _parts(sets: DataFrame, shorter: DataFrame) -> DataFrame:
+    """The `sets` that stand on fewer pages than each part with one item less. Parts without
+    a wide item are FP-growth's and not looked up, but for single items."""
+    parts = F.transform(
+        F.sequence(F.lit(1), F.size("items")), lambda p: F.filter("items", lambda _, at: at != p - 1)
+    )
+    parts = F.filter(parts, lambda part: part[0].startswith(WIDE) | (F.size(part) == 1))
+    own = sets.withColumn("parts", parts).withColumn("n", F.size("parts")).withColumn("part", F.explode("parts"))
+    above = shorter.select(F.col("items").alias("part"), F.col("pages").alias("above"))
+    held = own.join(above, "part").where("pages < above").groupBy("items", "pages", "bad_pages")
+    return held.agg(F.count(F.lit(1)).alias("found"), F.first("n").alias("n")).where("found = n").drop("found", "n")
+
+
+def wide_rules(
+    own: DataFrame, wide: DataFrame, rate: float, scratch: Scratch, min_pages: int, min_confidence: float
+) -> DataFrame:
+    """`antecedent` and `confidence` of rules with an item of `wide`, of any length.
+
+    `own` has a row per page (`row`, `bad`) and `item`. A combination of k items is made where
+    two of k - 1 that differ in their last item meet on a page; the first item is a wide one.
+    """
+    mark = F.when(F.col("wide"), F.lit(WIDE)).otherwise(F.lit(OTHER))
+    named = own.join(wide.withColumn("wide", F.lit(True)), "item", "left")
+    on_pages = named.select(
+        "row", "bad", F.array().cast("array<string>").alias("prefix"), F.concat(mark, "item").alias("last")
+    )
+    rules, shorter, length = [], None, 1
+    # the fewest bad pages that a rule can have
+    least = min_pages * min_confidence * (1 - 1e-9)
+    while True:
+        counts = on_pages.groupBy("prefix", "last").agg(
+            F.count(F.lit(1)).alias("pages"), F.count_if("bad").alias("bad_pages")
+        )
+        sets = counts.where((F.col("pages") >= min_pages) & (F.col("bad_pages") >= least))
+        sets = sets.select(F.concat("prefix", F.array("last")).alias("items"), "pages", "bad_pages")
+        sets = scratch.store(sets if shorter is None else _parts(sets, shorter), f"sets{length}")
+        own_rules = sets.where(F.col("items")[0].startswith(WIDE)).select(
+            F.transform("items", lambda i: F.substr(i, F.lit(2))).alias("antecedent"),
+            (F.col("bad_pages") / F.col("pages")).alias("confidence"),
+            "pages",
+        )
+        own_rules = own_rules.where((F.col("confidence") >= min_confidence) & _certain(F.col("pages"), rate))
+        rules.append(own_rules.drop("pages"))
+        # no longer combination is surer than one that is always bad
+        shorter = sets.where("bad_pages < pages")
+        if shorter.isEmpty():
+            return reduce(DataFrame.unionByName, rules)
+        grown = shorter.select(F.slice("items", 1, length - 1).alias("prefix"), F.col("items")[length - 1].alias("last"))
+        level = scratch.store(on_pages.join(grown, ["prefix", "last"], "left_semi"), f"level{length}")
+        if length == 1:
+            begun = level.where(F.col("last").startswith(WIDE)).select("row").distinct()
+            level = level.join(begun, "row", "left_semi")
+        else:
+            scratch.drop(f"level{length - 1}")
+        later = level.select("row", "prefix", F.col("last").alias("next"))
+        pairs = level.join(later, ["row", "prefix"]).where(F.col("last") < F.col("next"))
+        begins = F.concat("prefix", F.array("last"))
+        on_pages = pairs.where(begins[0].startswith(WIDE)).select(
+            "row", "bad", begins.alias("prefix"), F.col("next").alias("last")
+        )
+        length += 1
+
+
 def mine(
     pages: DataFrame,
     labels: DataFrame,
@@ -125,21 +201,24 @@ def mine(
     baskets = scratch.store(baskets.withColumn("row", F.monotonically_increasing_id()), "baskets")
     n, n_bad = baskets.agg(F.count(F.lit(1)), F.count_if("bad")).first()
     items = scratch.store(_items(baskets, min_pages), "items")
-    rare = F.array_sort(F.collect_list(F.struct("pages", "item"))).alias("rare")
+    rate = n_bad / n if n else 0.0
     own = baskets.select("row", "bad", F.explode("tokens").alias("item"))
-    own = own.join(items.select("item", "pages"), "item").groupBy("row", "bad").agg(rare)
-    chosen = F.transform(F.slice("rare", 1, ITEMS), lambda i: i["item"])
-    marked = F.when(F.col("bad"), F.concat(chosen, F.array(F.lit(BAD)))).otherwise(chosen)
-    mined = scratch.store(own.select(marked.alias("items")), "mined")
+    own = scratch.store(own.join(items.select("item", "pages"), "item"), "own")
+    rare = own.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pages", "item"))).alias("rare"))
+    wide = rare.select(F.explode(F.slice("rare", ITEMS + 1, F.size("rare"))).alias("of")).select("of.item").distinct()
+    wide = scratch.store(wide, "wide")
+    chosen = own.join(wide, "item", "left_anti").groupBy("row", "bad").agg(F.collect_list("item").alias("chosen"))
+    marked = F.when(F.col("bad"), F.concat("chosen", F.array(F.lit(BAD)))).otherwise(F.col("chosen"))
+    mined = scratch.store(chosen.select(marked.alias("items")), "mined")
     # pages without an item are counted too
     held = mined.count()
     support = min(1.0, (min_pages - 0.5) / held) if held else 1.0
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(mined)
-    rate = n_bad / n if n else 0.0
     with_it = F.round(F.col("support") * held / F.col("confidence"))  # pages of the combination
-    certain = F.col("confidence") >= rate + DEVIATIONS * F.sqrt(F.lit(rate * (1 - rate)) / with_it)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    rules = rules.where(certain & (with_it >= min_pages)).select("antecedent", "confidence")
+    rules = rules.where(_certain(with_it, rate) & (with_it >= min_pages)).select("antecedent", "confidence")
+    if not wide.isEmpty():
+        rules = rules.unionByName(wide_rules(own, wide, rate, scratch, min_pages, min_confidence))
     found = rules.withColumn("item", F.explode("antecedent")).join(items, "item").groupBy("antecedent")
     whole = found.agg(
         F.first("confidence").alias("confidence"),
