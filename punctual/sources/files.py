@@ -25,6 +25,12 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files of a folder."""
+    target, fs = _hadoop(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """path, name and size of the files that match. Contents are not read: only the
     listing columns of the binary source are selected."""

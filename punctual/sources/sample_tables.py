@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.plans.silver import with_event_attributes
+from punctual.sources import files
 
 ROWS_PER_TRAIN = 64  # shape N: no nested array is longer
+PART_BYTES = 8 << 20  # shape L: stored bytes of lines and orders that a task joins
 
 # Pinned, so that opening a table costs no pass over its files.
 SCHEMAS = {
@@ -73,12 +75,23 @@ def event_fact(spark: SparkSession, folder: str) -> DataFrame:
 # shape L
 
 
+def _by_order(spark: SparkSession, folder: str, lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines with their orders. The parts of the join follow the size of the tables, so a task
+    sorts and groups the same number of rows at any size; adaptive execution by itself merges
+    parts until they are as many as cores, or 64 MB each. Tables of fewer parts than cores
+    are left to it."""
+    stored = sum(files.size(spark, f"{folder}/{name}.parquet") for name in ("lineitem", "orders"))
+    parts = -(-stored // PART_BYTES)
+    if parts > spark.sparkContext.defaultParallelism:
+        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def lineitem_rows(
     spark: SparkSession, folder: str, train_type: bool = False, category: bool = False
 ) -> DataFrame:
     """Shape L. Type and category each cost a join, so they are added on request."""
-    orders = table(spark, folder, "orders")
-    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = _by_order(spark, folder, table(spark, folder, "lineitem"), table(spark, folder, "orders"))
     extra = []
     if train_type:
         lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -8,11 +8,12 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
+from punctual.llm.common import setting
 from punctual.operators.latest import latest_per_key
 from punctual.plans import build, gold, states
 from punctual.plans.marts import Marts
 from punctual.plans.reports import pair, star, train_types
-from punctual.sources import landing
+from punctual.sources import files, landing
 from punctual.sources import sample_tables as sample
 from punctual.sources.tables import Warehouse
 from punctual.verification.queries import registered, stored_warehouse
@@ -130,6 +131,29 @@ def test_a_dimension_is_joined_after_aggregation(spark):
         assert "HashAggregate" in "\n".join(text.splitlines()[join : join + 5])
 
 
+@pytest.mark.parametrize("name", ["region_delay"])
+def test_parts_of_the_order_join_follow_the_tables(spark, monkeypatch, name):
+    """Twice the stored bytes are twice the parts, whatever the shuffle partitions are; what
+    the join has put together by train is grouped there. The rows stay the same."""
+    few = sorted(map(str, registered()[name](spark, FOLDER).collect()))
+    stored = sum(files.size(spark, f"{FOLDER}/{t}.parquet") for t in ("lineitem", "orders"))
+    for parts in (20, 40):
+        monkeypatch.setattr(sample, "PART_BYTES", -(-stored // parts))
+        # joined by sorting, as large tables are
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            frame = registered()[name](spark, FOLDER)
+            text = initial(frame)
+            assert re.search(rf"hashpartitioning\(l_orderkey#\d+L, {parts}\)", text)
+            assert re.search(rf"hashpartitioning\(o_orderkey#\d+L, {parts}\)", text)
+            assert "hashpartitioning(stationShortCode, trainNumber" not in re.sub(r"#\d+L?", "", text)
+            assert "hashpartitioning(trainNumber" not in re.sub(r"#\d+L?", "", text)
+            assert sorted(map(str, frame.collect())) == few
+
+
+def test_small_tables_are_left_to_adaptive_execution(spark):
+    assert "REPARTITION_BY_NUM" not in initial(registered()["region_delay"](spark, FOLDER))
+
+
 @pytest.fixture(scope="module")
 def hot(spark):
     """A third of all rows: one train, one station, one midnight."""
