@@ -131,7 +131,7 @@ def test_a_dimension_is_joined_after_aggregation(spark):
         assert "HashAggregate" in "\n".join(text.splitlines()[join : join + 5])
 
 
-@pytest.mark.parametrize("name", ["region_delay"])
+@pytest.mark.parametrize("name", ["region_delay", "consistency_median_star"])
 def test_parts_of_the_order_join_follow_the_tables(spark, monkeypatch, name):
     """Twice the stored bytes are twice the parts, whatever the shuffle partitions are; what
     the join has put together by train is grouped there. The rows stay the same."""
