@@ -13,8 +13,9 @@ No combination is left out. Items that are always among the `ITEMS` rarest of th
 through FP-growth, with 2^`ITEMS` combinations of a page at most. Combinations with any other
 item, a wide one, grow item by item in joins over the pages that hold them (`wide_rules`).
 There a combination ends where a longer one can add nothing: below the pages or bad pages of
-a rule, at confidence 1, or on the same pages as a part of it. What blocks a URL, and with
-which confidence, is as if all combinations were listed.
+a rule, at confidence 1, on the same pages as a part of it, or where the good pages that hold
+all that may be added are too many. What blocks a URL, and with which confidence, is as if all
+combinations were listed.
 
 Defined cases. Null URL or one without `://`: empty host and path, no tokens, so the
 method allows it. Null labels count as good. No labelled pages, or none that are bad: no
@@ -28,7 +29,7 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import Scratch
@@ -121,17 +122,14 @@ def _certain(pages: Column, rate: float) -> Column:
     return F.col("confidence") >= rate + DEVIATIONS * F.sqrt(F.lit(rate * (1 - rate)) / pages)
 
 
-def _parts(sets: DataFrame, shorter: DataFrame) -> DataFrame:
-    """The `sets` that stand on fewer pages than each part with one item less. Parts without
-    a wide item are FP-growth's and not looked up, but for single items."""
+def _generators(sets: DataFrame, shorter: DataFrame) -> DataFrame:
+    """The `sets` that stand on fewer pages than any part in `shorter`, with one item less."""
     parts = F.transform(
         F.sequence(F.lit(1), F.size("items")), lambda p: F.filter("items", lambda _, at: at != p - 1)
     )
-    parts = F.filter(parts, lambda part: part[0].startswith(WIDE) | (F.size(part) == 1))
-    own = sets.withColumn("parts", parts).withColumn("n", F.size("parts")).withColumn("part", F.explode("parts"))
     above = shorter.select(F.col("items").alias("part"), F.col("pages").alias("above"))
-    held = own.join(above, "part").where("pages < above").groupBy("items", "pages", "bad_pages")
-    return held.agg(F.count(F.lit(1)).alias("found"), F.first("n").alias("n")).where("found = n").drop("found", "n")
+    held = sets.withColumn("part", F.explode(parts)).join(above, "part").groupBy("items", "pages", "bad_pages")
+    return held.agg(F.min("above").alias("above")).where("pages < above").drop("above")
 
 
 def wide_rules(
@@ -156,7 +154,7 @@ def wide_rules(
         )
         sets = counts.where((F.col("pages") >= min_pages) & (F.col("bad_pages") >= least))
         sets = sets.select(F.concat("prefix", F.array("last")).alias("items"), "pages", "bad_pages")
-        sets = scratch.store(sets if shorter is None else _parts(sets, shorter), f"sets{length}")
+        sets = scratch.store(sets if shorter is None else _generators(sets, shorter), f"sets{length}")
         own_rules = sets.where(F.col("items")[0].startswith(WIDE)).select(
             F.transform("items", lambda i: F.substr(i, F.lit(2))).alias("antecedent"),
             (F.col("bad_pages") / F.col("pages")).alias("confidence"),
@@ -168,15 +166,28 @@ def wide_rules(
         shorter = sets.where("bad_pages < pages")
         if shorter.isEmpty():
             return reduce(DataFrame.unionByName, rules)
-        grown = shorter.select(F.slice("items", 1, length - 1).alias("prefix"), F.col("items")[length - 1].alias("last"))
-        level = scratch.store(on_pages.join(grown, ["prefix", "last"], "left_semi"), f"level{length}")
+        grown = shorter.select(
+            F.slice("items", 1, length - 1).alias("prefix"), F.col("items")[length - 1].alias("last"), "bad_pages"
+        )
         if length == 1:
+            level = on_pages.join(grown.drop("bad_pages"), ["prefix", "last"])
             begun = level.where(F.col("last").startswith(WIDE)).select("row").distinct()
-            level = level.join(begun, "row", "left_semi")
+            level = hopeful = scratch.store(level.join(begun, "row", "left_semi"), "level1")
         else:
+            # items that may be added, and those of them that a page holds
+            after = F.row_number().over(Window.partitionBy("prefix").orderBy(F.desc("last")))
+            held = F.row_number().over(Window.partitionBy("row", "prefix").orderBy(F.desc("last")))
+            level = on_pages.join(grown.withColumn("after", after), ["prefix", "last"]).withColumn("held", held)
+            level = scratch.store(level, f"level{length}")
             scratch.drop(f"level{length - 1}")
+            # good pages that hold all of these stay, whatever is added
+            good = F.count_if(~F.col("bad") & (F.col("held") == F.col("after")))
+            bounds = level.groupBy("prefix", "last").agg(F.first("bad_pages").alias("most"), good.alias("good"))
+            low = bounds.where(F.col("most") < min_confidence * (1 - 1e-9) * (F.col("most") + F.col("good")))
+            hopeful = level.join(low.select("prefix", "last"), ["prefix", "last"], "left_anti")
         later = level.select("row", "prefix", F.col("last").alias("next"))
-        pairs = level.join(later, ["row", "prefix"]).where(F.col("last") < F.col("next"))
+        pairs = hopeful.select("row", "bad", "prefix", "last").join(later, ["row", "prefix"])
+        pairs = pairs.where(F.col("last") < F.col("next"))
         begins = F.concat("prefix", F.array("last"))
         on_pages = pairs.where(begins[0].startswith(WIDE)).select(
             "row", "bad", begins.alias("prefix"), F.col("next").alias("last")
