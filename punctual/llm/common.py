@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,10 @@ from punctual.session import scratch_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Where rows hold MBs each: what a Python worker is given at a time, in bytes; rows that a
+#: reader of tables holds at a time; rows after which a writer looks at the size of its pages.
+LARGE = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20), "spark.sql.parquet.columnarReaderBatchSize": "4"}
+PAGES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(16 << 20)}
 
 
 @contextmanager
@@ -62,11 +66,14 @@ class Scratch:
         self.spark = spark
         self.root = scratch_dir(spark, label)
 
-    def store(self, df: DataFrame, name: str, batch: int = 10_000) -> DataFrame:
-        """`df` as a written table; Python functions in it see at most `batch` rows at a time."""
+    def store(self, df: DataFrame, name: str, batch: int = 10_000, large: bool = False) -> DataFrame:
+        """`df` as a written table; Python functions in it see at most `batch` rows at a time.
+        `large`: rows of MBs are read, given to Python and written about one by one."""
         path = f"{self.root}/{name}"
-        with setting(self.spark, CLEANUP, "true"), setting(self.spark, BATCH, str(batch)):
-            df.write.parquet(path)
+        with ExitStack() as held:
+            for key, value in ({CLEANUP: "true", BATCH: str(batch)} | (LARGE if large else {})).items():
+                held.enter_context(setting(self.spark, key, value))
+            df.write.options(**(PAGES if large else {})).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -48,9 +48,9 @@ LENGTH, GRAM = 100, 50
 FIRST, NAMED = 27, 81
 #: Text bytes that are hashed at a time, about; text bytes per bucket of keys.
 STRETCH, BUCKET = 1 << 17, 8 << 20
-SEGMENT_PART = 1 << 20
-#: Texts, and parts, that a Python worker is given at a time.
-TEXTS, FEW = 512, 4
+SEGMENT_PART, SEGMENT_BUCKET = 1 << 19, 2 << 20
+#: Texts that a Python worker is given at a time.
+TEXTS = 512
 
 FOUND = "place long, spans binary, starts binary, sizes binary, text binary"
 SEGMENTS = "part long, ids binary, starts binary, sizes binary, text binary"
@@ -372,7 +372,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET))
     raw = texts.select("place", F.col("text").cast("binary").alias("text"))
-    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts", TEXTS)
+    parts = scratch.store(raw.mapInArrow(packs, PARTS), "parts", TEXTS, large=True)
 
     told = answers(questions(parts, _ask_anchors, buckets), _judge_anchors, "uint64", 2)
 
@@ -383,17 +383,17 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
         return _settle(rows.iloc[0].to_dict(), values, buckets)
 
     found = parts.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(settle, FOUND)
-    found = scratch.store(found, "found", FEW)
+    found = scratch.store(found, "found", TEXTS, large=True)
     scratch.drop("parts")
 
     left = found.where("octet_length(text) > 0").select("place", "starts", "sizes", "text")
     left = left.repartitionByRange("place").sortWithinPartitions("place")
-    segments = scratch.store(left.mapInArrow(_segments, SEGMENTS), "segments", TEXTS)
+    segments = scratch.store(left.mapInArrow(_segments, SEGMENTS), "segments", TEXTS, large=True)
     size = segments.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // SEGMENT_PART))
+    buckets = max(1, -(-size // SEGMENT_BUCKET))
     length = FIRST
     while length <= NAMED:
-        segments = scratch.store(named(segments, length, buckets), f"names-{length}", FEW)
+        segments = scratch.store(named(segments, length, buckets), f"names-{length}", TEXTS, large=True)
         scratch.drop("segments", f"names-{length // 3}")
         length *= 3
 
@@ -406,7 +406,7 @@ def repeats(texts: DataFrame, scratch: Scratch) -> DataFrame:
         return _repeated(rows.iloc[0].to_dict(), values, buckets)
 
     more = segments.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(close, "place long, spans binary")
-    return scratch.store(more.unionByName(found.select("place", "spans").where("octet_length(spans) > 0")), "spans", FEW)
+    return scratch.store(more.unionByName(found.select("place", "spans").where("octet_length(spans) > 0")), "spans", TEXTS, large=True)
 
 
 def merged(spans: list[bytes] | None) -> np.ndarray:

@@ -10,11 +10,12 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow.dataset
 import pytest
 from llm_tables import DOCUMENT, TABLES
 from pyspark.sql import functions as F
 
-from punctual.llm import mixing, near_dups, packing, quality, shards, url_rules
+from punctual.llm import mixing, near_dups, packing, quality, shards, suffix_dedup, url_rules
 from punctual.llm.oracle import ORACLE
 from punctual.llm.registry import QUERIES
 
@@ -461,3 +462,27 @@ def test_pipeline_keeps_what_the_query_on_quality_keeps(spark, folder, given):
     assert name == "quality classifier" and kept.columns == docs.columns
     texts = {r[0]: r[1] for r in rows}
     assert {r.doc_id: r.text for r in kept.collect()} == {r.doc_id: texts[r.doc_id] for r in judged if r.predicted}
+
+
+def test_suffix_dedup_holds_large_parts_one_at_a_time(spark, scratch, monkeypatch):
+    # 1.5 MB each, nothing repeats but what the last text has of the first
+    text = "array_join(transform(sequence(1, 24000), x -> sha2(cast(id * 100000 + x as string), 256)), '')"
+    documents = spark.range(16, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr(text).alias("text"))
+    first = documents.where("doc_id = 0").select(F.substring("text", 1001, 700).alias("own")).first()["own"]
+    documents = documents.withColumn("text", F.when(F.col("doc_id") == 15, F.concat("text", F.lit(f"/{first}"))).otherwise(F.col("text")))
+    questions = suffix_dedup.questions
+
+    def asked(parts, ask, buckets):
+        def counted(batches):
+            for batch in batches:
+                assert batch.num_rows == 1 or batch.nbytes < 2 << 20, f"{batch.num_rows} parts of {batch.nbytes} bytes"
+                yield batch
+
+        return questions(parts.mapInArrow(counted, parts.schema), ask, buckets)
+
+    monkeypatch.setattr(suffix_dedup, "questions", asked)
+    monkeypatch.setattr(suffix_dedup.Scratch, "drop", lambda self, *names: None)
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.cut_bytes(documents, scratch).collect()}
+    assert found == {i: (1_536_000, 0, 0) for i in range(15)} | {15: (1_536_701, 700, 1)}
+    groups = [g for f in pyarrow.dataset.dataset(f"{scratch.root}/parts", format="parquet").get_fragments() for g in f.row_groups]
+    assert sum(g.num_rows for g in groups) == 8 and max(g.total_byte_size for g in groups) < 24 << 20 and len(groups) > 1
