@@ -464,12 +464,13 @@ def test_pipeline_keeps_what_the_query_on_quality_keeps(spark, folder, given):
     assert {r.doc_id: r.text for r in kept.collect()} == {r.doc_id: texts[r.doc_id] for r in judged if r.predicted}
 
 
-def test_suffix_dedup_holds_large_parts_one_at_a_time(spark, scratch, monkeypatch):
-    # 1.5 MB each, nothing repeats but what the last text has of the first
+@pytest.fixture
+def large(spark, monkeypatch):
+    """Sixteen documents of 1.5 MB, the last with 700 characters of the first. Parts of such texts
+    may go to Python one at a time only."""
     text = "array_join(transform(sequence(1, 24000), x -> sha2(cast(id * 100000 + x as string), 256)), '')"
     documents = spark.range(16, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr(text).alias("text"))
     first = documents.where("doc_id = 0").select(F.substring("text", 1001, 700).alias("own")).first()["own"]
-    documents = documents.withColumn("text", F.when(F.col("doc_id") == 15, F.concat("text", F.lit(f"/{first}"))).otherwise(F.col("text")))
     questions = suffix_dedup.questions
 
     def asked(parts, ask, buckets):
@@ -481,8 +482,17 @@ def test_suffix_dedup_holds_large_parts_one_at_a_time(spark, scratch, monkeypatc
         return questions(parts.mapInArrow(counted, parts.schema), ask, buckets)
 
     monkeypatch.setattr(suffix_dedup, "questions", asked)
+    return documents.withColumn("text", F.when(F.col("doc_id") == 15, F.concat("text", F.lit(f"/{first}"))).otherwise(F.col("text")))
+
+
+def test_suffix_dedup_holds_large_parts_one_at_a_time(large, scratch, monkeypatch):
     monkeypatch.setattr(suffix_dedup.Scratch, "drop", lambda self, *names: None)
-    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.cut_bytes(documents, scratch).collect()}
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.cut_bytes(large, scratch).collect()}
     assert found == {i: (1_536_000, 0, 0) for i in range(15)} | {15: (1_536_701, 700, 1)}
     groups = [g for f in pyarrow.dataset.dataset(f"{scratch.root}/parts", format="parquet").get_fragments() for g in f.row_groups]
     assert sum(g.num_rows for g in groups) == 8 and max(g.total_byte_size for g in groups) < 24 << 20 and len(groups) > 1
+
+
+def test_pipeline_cuts_large_parts_one_at_a_time(large, spark):
+    found = {r["doc_id"]: r["n"] for r in corpus_pipeline.cut_repeats(spark, large, "").select("doc_id", F.length("text").alias("n")).collect()}
+    assert found == {i: 1_536_000 for i in range(15)} | {15: 1_536_001}
